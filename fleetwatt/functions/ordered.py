@@ -145,26 +145,26 @@ def with_lags(
 
 
 def newest(df: DataFrame, n: int, keys: Sequence[str], time: str = TIME, unit: str = "month") -> DataFrame:
-    """The last ``n`` rows of each group; each slice first keeps its own last ``n``."""
+    """The last ``n`` rows of each group.
+
+    Counts per slice tell which slices can hold them; only those rows are numbered.
+    """
     rows = df.withColumn(SLICE, _slice(time, unit))
-    local = Window.partitionBy(*keys, SLICE).orderBy(F.col(time).desc())
-    whole = Window.partitionBy(*keys).orderBy(F.col(time).desc())
     counts = rows.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_rows"))
-    later_rows = F.sum("_rows").over(
-        Window.partitionBy(*keys).orderBy(F.col(SLICE).desc()).rowsBetween(*BEFORE)
-    )
-    wanted = (
-        counts.withColumn("_after", F.coalesce(later_rows, F.lit(0)))
+    after = F.sum("_rows").over(Window.partitionBy(*keys).orderBy(F.col(SLICE).desc()).rowsBetween(*BEFORE))
+    first = (
+        counts.withColumn("_after", F.coalesce(after, F.lit(0)))
         .where(F.col("_after") < n)
-        .select(*keys, SLICE)
+        .groupBy(*keys)
+        .agg(F.min(SLICE).alias("_first"))
     )
+    back = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(time).desc()))
     return (
-        rows.join(wanted, [*keys, SLICE], "left_semi")
-        .withColumn("_rn", F.row_number().over(local))
-        .where(F.col("_rn") <= n)
-        .withColumn("_rn", F.row_number().over(whole))
+        rows.join(first, list(keys))
+        .where(F.col(SLICE) >= F.col("_first"))
+        .withColumn("_rn", back)
         .where(F.col("_rn") <= n)
-        .drop("_rn", SLICE)
+        .drop("_rn", "_first", SLICE)
     )
 
 

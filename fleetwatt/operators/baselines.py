@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetwatt import KEY, TIME
 from fleetwatt.functions.clock import SLOT_SECONDS, as_column, epoch, later
-from fleetwatt.functions.ordered import BEFORE, newest
+from fleetwatt.functions.ordered import BEFORE
 from fleetwatt.operators.folds import fold_rows
 from fleetwatt.operators.grid import with_day
 
@@ -23,15 +23,18 @@ def _pred(df: DataFrame, name: str, y_pred: Column, value: str, keys: Sequence[s
 def _known_before(df: DataFrame, folds: DataFrame, n: int, value: str, keys: Sequence[str], time: str) -> DataFrame:
     """The last ``n`` known rows before each fold, numbered back from it (``_back`` = 1 is newest).
 
-    Of the rows before the first fold only the newest ``n`` can matter, so the rest
-    goes before the folds are attached.
+    Daily counts tell from which day on they can lie, so only the last rows of a series
+    are paired with its folds.
     """
-    held = folds.groupBy(*keys).agg(F.min("start").alias("_first"), F.max("end").alias("_last"))
-    known = df.where(as_column(value).isNotNull()).select(*keys, time, as_column(value).alias("_v"))
-    old = known.join(held, list(keys)).where(F.col(time) < F.col("_first")).drop("_first", "_last")
-    recent = known.join(held, list(keys)).where((F.col(time) >= F.col("_first")) & (F.col(time) <= F.col("_last"))).drop("_first", "_last")
-    pool = newest(old, n, keys, time).unionByName(recent)
-    paired = pool.join(folds, list(keys)).where(F.col(time) < F.col("start"))
+    known = with_day(df.where(as_column(value).isNotNull()).select(*keys, time, as_column(value).alias("_v")), time)
+    first = folds.groupBy(*keys).agg(F.min("start").alias("_first"))
+    per_day = known.groupBy(*keys, "day").agg(F.count(F.lit(1)).alias("_rows")).join(first, list(keys)).where("day < _first")
+    nearer = F.sum("_rows").over(Window.partitionBy(*keys).orderBy(F.col("day").desc()).rowsBetween(*BEFORE))
+    reach = per_day.withColumn("_nearer", F.coalesce(nearer, F.lit(0))).where(F.col("_nearer") < n)
+    reach = reach.groupBy(*keys).agg(F.min("day").alias("_from"))
+    begin = first.join(reach, list(keys), "left").select(*keys, F.coalesce("_from", "_first").alias("_from"))
+    pool = known.join(begin, list(keys)).where("day >= _from")
+    paired = pool.join(folds.select(*keys, "fold", "start"), list(keys)).where(F.col(time) < F.col("start"))
     back = F.row_number().over(Window.partitionBy(*keys, "fold").orderBy(F.col(time).desc()))
     return paired.withColumn("_back", back).where(F.col("_back") <= n).select(*keys, "fold", "start", "_back", "_v")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,10 +107,20 @@ def feature_category(c: str | Column) -> Column:
     )
 
 
+def _fixed_digits(digits: int):
+    # the JVM formats the shortest decimal form half-up; text must round the stored
+    # binary value instead, so 1.45 (stored just below) shows as 1.4
+    @F.pandas_udf("string")
+    def shown(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: None if pd.isna(v) else f"{v:.{digits}f}")
+
+    return shown
+
+
 def show_number(c: str | Column, digits: int = 2, suffix: str = "", percent: bool = False) -> Column:
     """Rounded text with a suffix, ``--`` for null."""
-    text = F.format_string(f"%.{digits}f", as_column(c).cast("double"))
-    return F.coalesce(F.when(as_column(c).isNotNull(), F.concat(text, F.lit("%" if percent else suffix))), F.lit("--"))
+    text = _fixed_digits(digits)(as_column(c).cast("double"))
+    return F.coalesce(F.concat(text, F.lit("%" if percent else suffix)), F.lit("--"))
 
 
 def show_thousands(c: str | Column, digits: int = 0) -> Column:

@@ -236,11 +236,11 @@ def totals(df: DataFrame, demand: str = "Demand", pv_prefix: str = "pv", time: s
     )
 
 
-def _argmax(df: DataFrame, part: Column, value: str) -> Column | DataFrame:
+def _argmax(df: DataFrame, part: Column, value: str) -> DataFrame:
     """One row: the part with the highest mean; the lowest part on a tie."""
-    means = df.groupBy(part.alias("_k")).agg(F.avg(as_column(value)).alias("_m"))
-    best = F.max(F.struct(F.col("_m"), -F.col("_k")))
-    return means.where("_m IS NOT NULL").agg((-best.getField("_k")).alias("k"), best.getField("_m").alias("m"))
+    means = df.groupBy(part.alias("_k")).agg(F.avg(as_column(value)).alias("_m")).where("_m IS NOT NULL")
+    best = means.select(F.struct(F.col("_m").alias("m"), (-F.col("_k")).alias("k")).alias("_b")).agg(F.max("_b").alias("_b"))
+    return best.select((-F.col("_b.k")).alias("k"), F.col("_b.m").alias("m"))
 
 
 def energy_kpis(df: DataFrame, demand: str = "Demand", pv: str = "pv", time: str = TIME) -> DataFrame:

@@ -85,7 +85,7 @@ def daily(spark: SparkSession, sf: str) -> DataFrame:
 
 def predicted(spark: SparkSession, sf: str) -> DataFrame:
     rows = materialise(long_filled(spark, sf))
-    return rolling_baselines(rows, daily_folds(rows), members=["naive_24h", "naive_7d"])
+    return rolling_baselines(rows, materialise(daily_folds(rows)), members=["naive_24h", "naive_7d"])
 
 
 def storage_days(spark: SparkSession, sf: str) -> DataFrame:
