@@ -118,16 +118,17 @@ def with_lags(
     keys: Sequence[str] = (KEY,),
     time: str = TIME,
     freq: str = "hour",
-    extra: dict[str, tuple[str, Sequence[int]]] | None = None,
+    past: dict[str, tuple[str, int]] | None = None,
 ) -> DataFrame:
     """Add lag columns on a complete grid: ``{new: (column, slots back)}``.
 
-    ``extra`` adds arrays of several lags: ``{new: (column, [slots back])}``.
+    ``past`` adds arrays ``{new: (column, reach)}`` of the value now and up to ``reach``
+    slots back, newest first; an array is shorter where the series begins.
     Rows close to the end of a slice are also copied to the slices that look
     back at them, so each slice is computed on its own.
     """
-    extra = extra or {}
-    reach = max([k for _, k in lags.values()] + [k for _, ks in extra.values() for k in ks] + [0])
+    past = past or {}
+    reach = max([k for _, k in [*lags.values(), *past.values()]] + [0])
     unit, step = SLICE_OF[freq], SLOT_SECONDS[freq]
     home = _slice(time, unit)
     seen_by = F.sequence(home, _slice(later(time, reach * step), unit), F.expr(f"INTERVAL 1 {unit}"))
@@ -136,12 +137,10 @@ def with_lags(
     out = rows.select(
         "*",
         *[F.lag(as_column(c), k).over(w).alias(n) if k else as_column(c).alias(n) for n, (c, k) in lags.items()],
-        *[
-            F.array(*[F.lag(as_column(c), k).over(w) if k else as_column(c) for k in ks]).alias(n)
-            for n, (c, ks) in extra.items()
-        ],
+        *[F.collect_list(F.struct(as_column(c).alias("v"))).over(w.rowsBetween(-k, 0)).alias(n) for n, (c, k) in past.items()],
     )
-    return out.where(F.col(SLICE) == home).drop(SLICE)
+    newest_first = {n: F.transform(F.reverse(n), lambda p: p.getField("v")) for n in past}
+    return out.where(F.col(SLICE) == home).drop(SLICE).withColumns(newest_first)
 
 
 def newest(df: DataFrame, n: int, keys: Sequence[str], time: str = TIME, unit: str = "month") -> DataFrame:

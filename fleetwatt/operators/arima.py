@@ -134,12 +134,12 @@ def fit_and_forecast(
     ``start``, or on the last ``window`` slots before it.
     """
     step = SLOT_SECONDS[freq]
-    arrays = {"_y": (value, range(spec.reach + 1))}
-    arrays |= {f"_z{i}": (c, range(spec.reach + 1)) for i, c in enumerate(spec.exog)}
+    arrays = {"_y": (value, spec.reach)}
+    arrays |= {f"_z{i}": (c, spec.reach) for i, c in enumerate(spec.exog)}
     base = df.select(key, time, *[as_column(c).cast("double").alias(c) for c in dict.fromkeys([value, *spec.exog])])
-    rows = with_lags(base, {}, [key], time, freq, extra=arrays).select(key, time, *arrays)
+    rows = with_lags(base, {}, [key], time, freq, past=arrays).select(key, time, *arrays)
     for a in arrays:
-        rows = rows.where(~F.exists(a, lambda v: v.isNull()))
+        rows = rows.where((F.size(a) == spec.reach + 1) & ~F.exists(a, lambda v: v.isNull()))
     # one entry per fold day of a series
     starts = folds.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start", "fold"))).alias("_folds"))
     placed = rows.join(starts, key)

@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,7 +43,7 @@ def autocovariance_sums(
 ) -> DataFrame:
     """``keys, lag, s, n``: sums of d(t)·d(t-lag) around the series mean, on a complete grid."""
     rows = centred(df, value, keys).select(*keys, time, "_d", "_n")
-    rows = with_lags(rows, {}, keys, time, freq, extra={"_back": ("_d", range(max_lag + 1))})
+    rows = with_lags(rows, {}, keys, time, freq, past={"_back": ("_d", max_lag)})
     products = rows.select(*keys, "_n", F.posexplode(F.transform("_back", lambda b: b * F.col("_d"))).alias("lag", "_p"))
     return products.groupBy(*keys, "lag").agg(F.coalesce(F.sum("_p"), F.lit(0.0)).alias("s"), F.max("_n").alias("n"))
 
@@ -54,10 +54,9 @@ def acf(df: DataFrame, nlags: int = 48, value: str = "value", keys: Sequence[str
     A constant series has no autocorrelation: null.
     """
     sums = autocovariance_sums(df, nlags, value, keys, time, freq)
-    base = sums.where("lag = 0").select(*keys, F.col("s").alias("_s0"))
-    return sums.join(base, list(keys)).select(
-        *keys, "lag", F.try_divide(F.col("s"), F.col("_s0")).alias("acf"), (1.96 / F.sqrt("n")).alias("band")
-    )
+    # nlags + 1 rows per series in this window
+    s0 = F.max(F.when(F.col("lag") == 0, F.col("s"))).over(Window.partitionBy(*keys))
+    return sums.select(*keys, "lag", F.try_divide(F.col("s"), s0).alias("acf"), (1.96 / F.sqrt("n")).alias("band"))
 
 
 def durbin_levinson(r: Sequence[float]) -> list[float]:
@@ -109,8 +108,8 @@ def adf(df: DataFrame, value: str = "value", key: str = KEY, time: str = TIME, f
     out = f"`{key}` {df.schema[key].dataType.simpleString()}, statistic double, p_value double, used_lag int, nobs long, critical_5 double"
     if reach is None:
         return df.sparkSession.createDataFrame([], out)
-    rows = with_lags(df.select(key, time, as_column(value).alias("_v")), {}, [key], time, freq, extra={"_y": ("_v", range(reach + 2))})
-    rows = rows.join(lengths, key).select(key, "_m", F.slice("_y", 1, F.col("_m") + 2).alias("_y"))
+    rows = with_lags(df.select(key, time, as_column(value).alias("_v")), {}, [key], time, freq, past={"_y": ("_v", reach + 1)})
+    rows = rows.join(lengths, key).where(F.size("_y") >= F.col("_m") + 2).select(key, F.slice("_y", 1, F.col("_m") + 2).alias("_y"))
     rows = rows.where(~F.exists("_y", lambda v: v.isNull()))
     part = T.StructType([df.schema[key]])
 
@@ -134,8 +133,9 @@ def adf(df: DataFrame, value: str = "value", key: str = KEY, time: str = TIME, f
         return moment.map(pick)
 
     chosen = moments(rows, part, wide).select(key, best_lag("moment").alias("used_lag"))
-    again = with_lags(df.select(key, time, as_column(value).alias("_v")), {}, [key], time, freq, extra={"_y": ("_v", range(reach + 2))})
-    again = again.join(chosen, key).select(key, F.slice("_y", 1, F.col("used_lag") + 2).alias("_y"))
+    again = with_lags(df.select(key, time, as_column(value).alias("_v")), {}, [key], time, freq, past={"_y": ("_v", reach + 1)})
+    again = again.join(chosen, key).where(F.size("_y") >= F.col("used_lag") + 2)
+    again = again.select(key, F.slice("_y", 1, F.col("used_lag") + 2).alias("_y"))
     again = again.where(~F.exists("_y", lambda v: v.isNull()))
 
     @F.pandas_udf("statistic double, p_value double, used_lag int, nobs long, critical_5 double")

@@ -176,7 +176,8 @@ def dispatch(df: DataFrame, battery: Battery = Battery(), problem: Sequence[str]
     signals = ["demand", "pv", "price_buy", "price_sell"]
     hours = F.array_sort(F.collect_list(F.struct("hour", *[as_column(s).cast("double").alias(s) for s in signals])))
     days = df.groupBy(*problem).agg(hours.alias("_h"))
-    arrays = days.select(*problem, *[F.transform("_h", lambda h, s=s: h.getField(s)).alias(s) for s in ["hour", *signals]])
+    # a field of an array of structs is the array of that field
+    arrays = days.select(*problem, *[F.col("_h").getField(s).alias(s) for s in ["hour", *signals]])
     flows = ["grid_import", "grid_export", "charge", "discharge", "soc"]
     lists = [T.StructField(n, T.ArrayType(T.DoubleType())) for n in flows]
     schema = T.StructType(

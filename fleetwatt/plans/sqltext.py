@@ -123,4 +123,4 @@ def sql(body: str, **local: str) -> str:
 
     visit(body)
     parts = [f"{n} as ({known[n]})" for n in needed]
-    return f"with {', '.join(parts)} {body}" if parts else body
+    return f"with recursive {', '.join(parts)} {body}" if parts else body
