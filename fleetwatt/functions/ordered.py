@@ -25,6 +25,13 @@ def _slice(time: str | Column, unit: str) -> Column:
     return F.date_trunc(unit, as_column(time))
 
 
+def _sliced(df: DataFrame, keys: Sequence[str], time: str, unit: str) -> DataFrame:
+    rows = df.withColumn(SLICE, _slice(time, unit))
+    for c in [*keys, SLICE]:
+        rows = rows.where(as_column(c).isNotNull())
+    return rows
+
+
 def with_neighbours(
     df: DataFrame,
     cols: Sequence[str],
@@ -40,7 +47,7 @@ def with_neighbours(
     ``order`` breaks ties between rows of the same moment.
     """
     part = [*keys, SLICE]
-    rows = df.withColumn(SLICE, _slice(time, unit))
+    rows = _sliced(df, keys, time, unit)
     up = Window.partitionBy(*part).orderBy(time, *order)
     down = Window.partitionBy(*part).orderBy(F.col(time).desc(), *[F.col(c).desc() for c in order])
     rows = rows.withColumn("_pos", F.row_number().over(up).cast("long"))
@@ -82,7 +89,8 @@ def with_neighbours(
         *[F.last(shifted(f"_l{i}"), ignorenulls=True).over(along.rowsBetween(*BEFORE)).alias(f"_cp{i}") for i in known],
         *[F.last(shifted(f"_f{i}"), ignorenulls=True).over(against.rowsBetween(*BEFORE)).alias(f"_cn{i}") for i in known],
     )
-    joined = rows.join(edges, part, "left")
+    # every slice has its edges; the inner join lets both branches share one shuffle
+    joined = rows.join(edges, part, "inner")
     out = joined.select(
         *[as_column(c) for c in df.columns],
         (F.col("_pos") + F.col("_off")).alias("_pos"),
@@ -97,7 +105,7 @@ def running_total(
 ) -> DataFrame:
     """Add running sums along each series; nulls count as zero."""
     part = [*keys, SLICE]
-    rows = df.withColumn(SLICE, _slice(time, unit))
+    rows = _sliced(df, keys, time, unit)
     up = Window.partitionBy(*part).orderBy(time).rowsBetween(*FROM_START)
     rows = rows.select("*", *[F.sum(F.coalesce(e, F.lit(0))).over(up).alias(f"_in_{n}") for n, e in cols.items()])
     along = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(*BEFORE)
@@ -106,7 +114,7 @@ def running_total(
         .agg(*[F.sum(F.coalesce(e, F.lit(0))).alias(f"_t_{n}") for n, e in cols.items()])
         .select(*part, *[F.coalesce(F.sum(f"_t_{n}").over(along), F.lit(0)).alias(f"_c_{n}") for n in cols])
     )
-    return rows.join(carried, part, "left").select(
+    return rows.join(carried, part, "inner").select(
         *[as_column(c) for c in df.columns],
         *[(F.col(f"_in_{n}") + F.col(f"_c_{n}")).alias(n) for n in cols],
     )

@@ -17,7 +17,7 @@ from fleetwatt.operators.coerce import (
     text_columns_with_numbers,
     to_number,
 )
-from fleetwatt.operators.impute import forward_fill, interpolate
+from fleetwatt.operators.impute import Fill, fill
 
 # Name parts that mark a signal, and how many rows a fill may cross.
 PV_WORDS = ("pv", "photovoltaic")
@@ -50,10 +50,9 @@ def clean_dataset(df: DataFrame, key: str = KEY, time: str = TIME, order: tuple[
     work = work.withColumns({c: to_number(c) for c in doubles})
 
     both = work.withColumns({f"_raw_{c}": as_column(c) for c in [*pv, *demand]})
-    if pv:
-        both = interpolate(both, pv, [key], time, limit=PV_LIMIT, order=order)
-    if demand:
-        both = forward_fill(both, demand, [key], time, limit=DEMAND_LIMIT, order=order)
+    rules = {c: Fill("time", limit=PV_LIMIT) for c in pv} | {c: Fill("forward", back=False, limit=DEMAND_LIMIT) for c in demand}
+    if rules:
+        both = fill(both, rules, [key], time, order=order)
     both = both.withColumns({f"_full_{c}": as_column(c) for c in [*pv, *demand]})
     both = both.withColumns({c: clip_negative(c) for c in [*pv, *demand]})
 

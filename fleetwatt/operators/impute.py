@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -15,79 +16,73 @@ from fleetwatt.functions.clock import as_column, epoch
 from fleetwatt.functions.ordered import with_neighbours
 
 
-def _plain(df: DataFrame, like: DataFrame, replaced: dict[str, Column]) -> DataFrame:
-    return df.select(*[replaced[c].alias(c) if c in replaced else as_column(c) for c in like.columns])
+@dataclass(frozen=True)
+class Fill:
+    """How one column is filled.
 
+    ``how`` is ``"time"`` or ``"position"`` for linear interpolation, ``"forward"`` for the
+    last known value.  ``back`` also uses the next known value where there is no last one.
+    ``limit`` is the number of rows a known value may reach.
+    """
 
-def _linear(i: int, c: str, x: Column, at: str, back_edge: bool) -> Column:
-    """The line between the two known neighbours, the nearer one beyond the ends."""
-    p, n = F.col(f"_prev_{i}"), F.col(f"_next_{i}")
-
-    def pos(side: Column) -> Column:
-        return epoch(side.getField("at")) if at == "at" else side.getField("pos").cast("double")
-
-    share = (x - pos(p)) / (pos(n) - pos(p))
-    line = p.getField("value") + (n.getField("value") - p.getField("value")) * share
-    edge = n.getField("value") if back_edge else F.lit(None).cast("double")
-    return (
+    how: str = "time"
+    back: bool = True
+    limit: int | None = None
+
+
+def _filled(i: int, c: str, rule: Fill, time: str) -> Column:
+    p, n, here = F.col(f"_prev_{i}"), F.col(f"_next_{i}"), F.col("_pos")
+    behind, ahead = here - p.getField("pos"), n.getField("pos") - here
+    before, after = p.getField("value"), n.getField("value")
+    if rule.how == "forward":
+        kept = before if rule.limit is None else F.when(behind <= rule.limit, before)
+        return F.coalesce(kept, after) if rule.back else kept
+    if rule.how == "time":
+        x, x0, x1 = epoch(time), epoch(p.getField("at")), epoch(n.getField("at"))
+    else:
+        x, x0, x1 = (e.cast("double") for e in (here, p.getField("pos"), n.getField("pos")))
+    value = (
         F.when(as_column(c).isNotNull(), as_column(c))
-        .when(p.isNull(), edge)
-        .when(n.isNull(), p.getField("value"))
-        .otherwise(line)
+        .when(p.isNull(), after if rule.back else F.lit(None).cast("double"))
+        .when(n.isNull(), before)
+        .otherwise(before + (after - before) * ((x - x0) / (x1 - x0)))
     )
+    if rule.limit is None:
+        return value
+    return F.when((F.least(behind, ahead) if rule.back else behind) <= rule.limit, value)
 
 
-def interpolate(
+def fill(
     df: DataFrame,
-    cols: Sequence[str],
+    rules: dict[str, Fill],
     keys: Sequence[str] = (KEY,),
     time: str = TIME,
-    by: str = "time",
-    both: bool = True,
-    limit: int | None = None,
     unit: str = "month",
     order: Sequence[str] = (),
 ) -> DataFrame:
-    """Linear interpolation in time (``by="time"``) or row position (``by="position"``).
+    """Fill several columns, each by its own rule, from one look at the neighbours."""
+    rows = with_neighbours(df, list(rules), keys, time, unit, order)
+    filled = {c: _filled(i, c, rule, time) for i, (c, rule) in enumerate(rules.items())}
+    return rows.select(*[filled[c].alias(c) if c in filled else as_column(c) for c in df.columns])
+
+
+def interpolate(
+    df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (KEY,), time: str = TIME, by: str = "time", both: bool = True, limit: int | None = None, **kw
+) -> DataFrame:
+    """Linear interpolation in time or row position (``by``).
 
     With ``both`` leading gaps take the first known value, otherwise they stay null.
     With ``limit`` a gap row is filled only if a known row lies within that many
     rows on either side.
     """
-    rows = with_neighbours(df, cols, keys, time, unit, order)
-    x = epoch(time) if by == "time" else F.col("_pos").cast("double")
-    at = "at" if by == "time" else "pos"
-    filled = {}
-    for i, c in enumerate(cols):
-        value = _linear(i, c, x, at, both)
-        if limit is not None:
-            behind = F.col("_pos") - F.col(f"_prev_{i}.pos")
-            ahead = F.col(f"_next_{i}.pos") - F.col("_pos")
-            near = F.least(behind, ahead) if both else behind
-            value = F.when(near <= limit, value)
-        filled[c] = value
-    return _plain(rows, df, filled)
+    return fill(df, {c: Fill(by, both, limit) for c in cols}, keys, time, **kw)
 
 
 def forward_fill(
-    df: DataFrame,
-    cols: Sequence[str],
-    keys: Sequence[str] = (KEY,),
-    time: str = TIME,
-    limit: int | None = None,
-    then_back: bool = False,
-    unit: str = "month",
-    order: Sequence[str] = (),
+    df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (KEY,), time: str = TIME, limit: int | None = None, then_back: bool = False, **kw
 ) -> DataFrame:
     """Last known value, over at most ``limit`` rows; optionally the next one after that."""
-    rows = with_neighbours(df, cols, keys, time, unit, order)
-    filled = {}
-    for i, c in enumerate(cols):
-        value = F.col(f"_prev_{i}.value")
-        if limit is not None:
-            value = F.when(F.col("_pos") - F.col(f"_prev_{i}.pos") <= limit, value)
-        filled[c] = F.coalesce(value, F.col(f"_next_{i}.value")) if then_back else value
-    return _plain(rows, df, filled)
+    return fill(df, {c: Fill("forward", then_back, limit) for c in cols}, keys, time, **kw)
 
 
 def _knn_block(target: str, covariates: Sequence[str], time: str, k: int):

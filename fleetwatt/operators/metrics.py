@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetwatt import KEY, TIME
 from fleetwatt.functions.clock import as_column, naive
+from fleetwatt.functions.quantiles import exact_quantiles
 from fleetwatt.operators.profile import order_table
 
 # The metric names and their order in reports.
@@ -45,16 +46,25 @@ def metrics_train_range(
     return scored.withColumn("nRMSE", F.when(width > 0, F.col("RMSE") / width)).drop("train_min", "train_max")
 
 
-def metrics_summary(metrics: DataFrame, by: Sequence[str] = (KEY, "model_name"), ddof: int = 1) -> DataFrame:
+def metrics_summary(metrics: DataFrame, by: Sequence[str] = (KEY, "model_name"), ddof: int = 1, key: str = KEY) -> DataFrame:
     """Mean, std and median of each metric over the folds of a model.
 
-    A group has one row per fold day, so the exact median buffer is small.
+    Within a series a group has one row per fold, so the median sorts a handful of
+    numbers; a group that spans the fleet is ranked by counting instead.
     """
     spread = F.stddev_samp if ddof == 1 else F.stddev_pop
+    small = key in by
     out = []
     for m in METRICS:
-        out += [F.avg(m).alias(f"{m}_mean"), spread(m).alias(f"{m}_std"), F.percentile(m, F.lit(0.5)).alias(f"{m}_median")]
-    return metrics.groupBy(*by).agg(*out)
+        out += [F.avg(m).alias(f"{m}_mean"), spread(m).alias(f"{m}_std")]
+        out += [F.percentile(m, F.lit(0.5)).alias(f"{m}_median")] if small else []
+    table = metrics.groupBy(*by).agg(*out)
+    if small:
+        return table
+    long = metrics.unpivot(list(by), list(METRICS), "_metric", "_value")
+    middle = exact_quantiles(long, [*by, "_metric"], "_value", [0.5])
+    wide = middle.groupBy(*by).agg(*[F.max(F.when(F.col("_metric") == m, F.col("quantile"))).alias(f"{m}_median") for m in METRICS])
+    return table.join(wide, list(by), "left")
 
 
 def metrics_mean(metrics: DataFrame, label: str, by: Sequence[str] = ("model_name",)) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -357,21 +358,22 @@ def normal_quantile(p: Column) -> Column:
     )
 
 
-def value_ranks(df: DataFrame, value: str, cells: int = 4096) -> DataFrame:
-    """``value, copies, before``: each distinct value with the rows below it.
+def value_ranks(df: DataFrame, value: str, cells: int = 1024) -> DataFrame:
+    """``value, copies, total, before``: each distinct value with the rows below it.
 
-    Equal values merge map-side; cells of the value range are numbered on their own
-    and shifted by the rows in the cells before them (at most ``cells`` rows).
+    Equal values merge map-side.  Approximate quantiles (at most ``cells`` numbers) cut the
+    value range into even cells; each is numbered on its own and shifted by the rows below.
     """
-    stats = _range(df, value)
-    rows = df.select(as_column(value).alias("value")).where("value IS NOT NULL")
-    rows = rows.groupBy("value").agg(F.count(F.lit(1)).alias("copies")).withColumn("_one", F.lit(1))
-    share = (F.col("value") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-    cell = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor(share * cells), F.lit(cells - 1))).otherwise(F.lit(0))
-    placed = rows.join(F.broadcast(stats), "_one").select("value", "copies", cell.alias("_cell"), F.col("_n").alias("total"))
+    rows = df.select(as_column(value).cast("double").alias("value")).where("value IS NOT NULL")
+    rows = rows.groupBy("value").agg(F.count(F.lit(1)).alias("copies"))
+    cuts = rows.stat.approxQuantile("value", [i / cells for i in range(1, cells)], 0.25 / cells)
+    splits = [-math.inf, *sorted(set(cuts)), math.inf]
+    placed = Bucketizer(splits=splits, inputCol="value", outputCol="_cell").transform(rows)
+    sizes = placed.groupBy("_cell").agg(F.sum("copies").alias("_rows"))
+    # one row per cell: at most `cells` rows in these windows and in the broadcast
     before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy("_cell").agg(F.sum("copies").alias("_rows")).select(
-        "_cell", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_off")
+    offsets = sizes.select(
+        "_cell", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_off"), F.sum("_rows").over(Window.partitionBy()).alias("total")
     )
     inside = Window.partitionBy("_cell").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     return placed.join(F.broadcast(offsets), "_cell").select(

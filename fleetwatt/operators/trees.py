@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector
@@ -132,13 +133,12 @@ def recursive_forecast(
     state = state.where(F.col("_known") == depth).drop("_known")
     for step in range(1, horizon + 1):
         at = later("_last", step * 3600)
-        state = cyclic_features(state.withColumn("_at", at), "_at").withColumn("is_weekend", is_weekend("_at").cast("double"))
-        vector = F.array(*[F.element_at("_back", k) for k in lags], *[F.col(c).cast("double") for c in TIME_FEATURES])
-        state = model.transform(state.withColumn("features", array_to_vector(vector)))
-        state = state.withColumn("_p", F.greatest(F.col("prediction"), F.lit(0.0)))
-        state = state.select(
-            *keys, "_last", F.concat(F.array("_p"), F.slice("_back", 1, depth + horizon)).alias("_back")
-        )
+        angle = F.hour(at) * F.lit(2 * math.pi / 24)
+        clock = [F.sin(angle), F.cos(angle), is_weekend(at).cast("double")]
+        vector = array_to_vector(F.array(*[F.element_at("_back", k) for k in lags], *clock))
+        state = model.transform(state.select(*keys, "_last", "_back", vector.alias("features")))
+        ahead = F.array(F.greatest(F.col("prediction"), F.lit(0.0)))
+        state = state.select(*keys, "_last", F.concat(ahead, F.slice("_back", 1, depth + horizon)).alias("_back"))
     steps = F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda i: F.struct(i.alias("step"), F.element_at("_back", horizon + 1 - i).alias("y_pred")))
     return state.select(*keys, "_last", F.explode(steps).alias("_s")).select(
         *keys, (F.col("_last") + F.make_dt_interval(hours=F.col("_s.step"))).cast("timestamp_ntz").alias(time), F.col("_s.step").alias("step"), F.col("_s.y_pred").alias("y_pred")

@@ -382,8 +382,9 @@ _OVERVIEW = {
 )
 def overview_kpis(spark, sf):
     scored = metrics.forecast_metrics(fx.predicted(spark, sf), [KEY, "model_name", "fold"])
+    means = scored.groupBy("model_name").agg(F.avg("RMSE").alias("RMSE_mean"), F.avg("nRMSE").alias("nRMSE_mean"))
     costs = storage.dispatch_kpis(fx.timer_schedule(spark, sf), ["scenario"])
-    return profile.overview_kpis(metrics.metrics_summary(scored, ["model_name"]), costs)
+    return profile.overview_kpis(means, costs)
 
 
 @query("distinct_models", sql("select distinct model_name from P"))

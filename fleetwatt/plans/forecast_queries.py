@@ -135,14 +135,14 @@ def rolling_oos_baselines(spark, sf):
     return fx.predicted(spark, sf)
 
 
-def _ar_rows(spark, sf):
-    rows = trees.ar_frame(fx.wide_filled(spark, sf))
+def _ar_rows(meter):
+    rows = trees.ar_frame(meter)
     features = trees.AR_FEATURES + trees.TIME_FEATURES
     return materialise(rows.na.drop(subset=["Demand", *features])), features
 
 
-def _gbt(spark, sf, rounds: int = 10):
-    rows, features = _ar_rows(spark, sf)
+def _gbt(meter, rounds: int = 10):
+    rows, features = _ar_rows(meter)
     data = ml_dataset(rows, "Demand", features)
     train, test = trees.split_by_end(data)
     return trees.fit_gbt(train, rounds, rate=0.3, depth=4), train, test, features
@@ -150,19 +150,19 @@ def _gbt(spark, sf, rounds: int = 10):
 
 @query("gbt_forecast")
 def gbt_forecast(spark, sf):
-    model, _, test, _ = _gbt(spark, sf)
+    model, _, test, _ = _gbt(fx.wide_filled(spark, sf))
     return trees.predict(model, test, "GBT")
 
 
 @query("learning_curve")
 def learning_curve(spark, sf):
-    model, train, test, _ = _gbt(spark, sf)
+    model, train, test, _ = _gbt(fx.wide_filled(spark, sf))
     return trees.learning_curve(model, train, test)
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    model, train, _, features = _gbt(spark, sf)
+    model, train, _, features = _gbt(fx.wide_filled(spark, sf))
     ranked = metrics.top_features(trees.feature_importance(model, features, train), 15)
     return ranked.withColumn("category", feature_category("feature"))
 
@@ -175,8 +175,9 @@ def exog_comparison(spark, sf):
 
 @query("recursive_forecast")
 def recursive_forecast(spark, sf):
-    model, _, _, _ = _gbt(spark, sf)
-    return trees.recursive_forecast(model, fx.wide_filled(spark, sf))
+    meter = materialise(fx.wide_filled(spark, sf))
+    model, _, _, _ = _gbt(meter)
+    return trees.recursive_forecast(model, meter)
 
 
 @query(

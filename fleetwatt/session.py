@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 def configure(spark: SparkSession) -> SparkSession:
     """Set the runtime options every job here assumes.
 
-    Clock arithmetic is naive UTC, and adaptive execution splits hot join
-    partitions and picks broadcast joins from measured sizes.
+    Clock arithmetic is naive UTC.  Adaptive execution splits hot join partitions, even
+    where that costs a shuffle, and picks broadcast joins from measured sizes.  Ranked
+    limits (``row_number <= n``) cut each task's rows before the shuffle.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10000")
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
     return spark
 
