@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fleetwatt import KEY, TIME
 from fleetwatt.functions.clock import SLICE_OF, SLOT_SECONDS, as_column, later
+from fleetwatt.session import materialise
 
 SLICE = "_slice"
 FROM_START = (Window.unboundedPreceding, Window.currentRow)
@@ -154,12 +155,13 @@ def with_lags(
 def newest(df: DataFrame, n: int, keys: Sequence[str], time: str = TIME, unit: str = "month") -> DataFrame:
     """The last ``n`` rows of each group.
 
-    Counts per slice tell which slices can hold them; only those rows are numbered.
+    Counts per slice tell which slices can hold them; only those rows are numbered.  The
+    counts are written out, so the planner knows their size.
     """
     rows = df.withColumn(SLICE, _slice(time, unit))
     counts = rows.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_rows"))
     after = F.sum("_rows").over(Window.partitionBy(*keys).orderBy(F.col(SLICE).desc()).rowsBetween(*BEFORE))
-    first = (
+    first = materialise(
         counts.withColumn("_after", F.coalesce(after, F.lit(0)))
         .where(F.col("_after") < n)
         .groupBy(*keys)

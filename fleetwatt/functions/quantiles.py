@@ -4,6 +4,8 @@
 group is counted into equal-width cells, the cell that holds the wanted rank is
 counted again into finer cells, and only the values of the last cell are ranked.
 Every count is a partial aggregate, so a hot group costs no more than a scan.
+The count tables are written out: each pass then reads the rows once and the
+planner knows the size of what it joins to them.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetwatt.functions.clock import as_column
+from fleetwatt.session import materialise
 
 
 def _cell(v: Column, lo: Column, hi: Column, cells: int) -> Column:
@@ -34,8 +37,8 @@ def exact_quantiles(
     rows = df.select(*keys, as_column(value).cast("double").alias("_v")).where("_v IS NOT NULL")
     rows = rows.withColumn("_all", F.lit(1))
     path = [*keys, "_all"]
-    whole = rows.groupBy(*path).agg(
-        F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    whole = materialise(
+        rows.groupBy(*path).agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     )
     at = (F.col("_n") - 1) * F.col("prob")
     targets = (
@@ -62,17 +65,15 @@ def exact_quantiles(
             .withColumn("_rank", F.col("_rank") - F.col("_before"))
         )
         path = [*path, cell]
-        targets = hit.select(*path, "prob", "_frac", "_side", "_rank", "_lo", "_hi")
-        bounds = targets.select(*path, "_lo", "_hi").distinct()
-        if level + 1 < levels:
-            targets = targets.drop("_lo", "_hi")
+        found = materialise(hit.select(*path, "prob", "_frac", "_side", "_rank", "_lo", "_hi"))
+        targets = found.drop("_lo", "_hi")
+        bounds = found.select(*path, "_lo", "_hi").distinct()
     # the last cell: equal values are counted together before they are ranked
     tail = rows.join(bounds.select(*path), path, "left_semi").groupBy(*path, "_v").agg(F.count("_v").alias("_n"))
     upto = Window.partitionBy(*path).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     tail = tail.withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
     found = (
-        targets.drop("_lo", "_hi")
-        .join(tail, path, "inner")
+        targets.join(tail, path, "inner")
         .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
     )
     return found.groupBy(*keys, "prob").agg(

@@ -70,15 +70,20 @@ def naive_tile(
     return _pred(rows.join(known.drop("_n"), [*keys, "fold", "_at"]), "naive_tile", F.col("_v"), value, keys, time)
 
 
-def _shifted(df: DataFrame, seconds: int, name: str, value: str, keys: Sequence[str], time: str) -> DataFrame:
-    """History moved forward, so that an equi-join on time reads the past."""
-    return df.select(*keys, later(time, seconds).alias(time), as_column(value).alias(name), F.lit(True).alias(f"{name}_found"))
+def _shifted(
+    df: DataFrame, folds: DataFrame, seconds: int, name: str, value: str, keys: Sequence[str], time: str
+) -> DataFrame:
+    """History moved forward, so that an equi-join on time reads the past; only what
+    the folds can reach."""
+    reach = folds.groupBy(*keys).agg(F.min(later("start", -seconds)).alias("_from"))
+    recent = df.join(reach, list(keys), "inner").where(F.col(time) >= F.col("_from"))
+    return recent.select(*keys, later(time, seconds).alias(time), as_column(value).alias(name), F.lit(True).alias(f"{name}_found"))
 
 
 def naive_24h(df: DataFrame, folds: DataFrame, value: str = "value", keys: Sequence[str] = (KEY,), time: str = TIME) -> DataFrame:
     """The value 24 hours earlier; where that row is absent, the row at the same place
     in the last 24 rows before the day."""
-    rows = fold_rows(df, folds, keys, time).join(_shifted(df, 86400, "_day", value, keys, time), [*keys, time], "left")
+    rows = fold_rows(df, folds, keys, time).join(_shifted(df, folds, 86400, "_day", value, keys, time), [*keys, time], "left")
     with_row = df.withColumn("_row", F.struct(as_column(value).alias("v")))
     place = _known_before(with_row.select(*keys, time, "_row"), folds, 24, "_row", keys, time)
     place = place.select(*keys, "fold", F.col("_back").alias("_at"), F.col("_v.v").alias("_place"))
@@ -90,8 +95,8 @@ def naive_24h(df: DataFrame, folds: DataFrame, value: str = "value", keys: Seque
 def naive_7d(df: DataFrame, folds: DataFrame, value: str = "value", keys: Sequence[str] = (KEY,), time: str = TIME) -> DataFrame:
     """The value 7 days earlier, else 24 hours earlier, else the last row before the day."""
     rows = fold_rows(df, folds, keys, time)
-    rows = rows.join(_shifted(df, 7 * 86400, "_week", value, keys, time), [*keys, time], "left")
-    rows = rows.join(_shifted(df, 86400, "_day", value, keys, time), [*keys, time], "left")
+    rows = rows.join(_shifted(df, folds, 7 * 86400, "_week", value, keys, time), [*keys, time], "left")
+    rows = rows.join(_shifted(df, folds, 86400, "_day", value, keys, time), [*keys, time], "left")
     with_row = df.withColumn("_row", F.struct(as_column(value).alias("v")))
     last = _known_before(with_row.select(*keys, time, "_row"), folds, 1, "_row", keys, time)
     rows = rows.join(last.select(*keys, "fold", F.col("_v.v").alias("_last")), [*keys, "fold"], "left")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from fleetwatt import KEY, TIME
 from fleetwatt.functions.clock import as_column, naive
 from fleetwatt.functions.ordered import newest
+from fleetwatt.session import materialise
 
 
 def parse_time(c: str | Column) -> Column:
@@ -137,7 +138,7 @@ def date_slice(df: DataFrame, first: str, last: str, time: str = TIME) -> DataFr
 
 def last_days(df: DataFrame, days: int, keys: Sequence[str] = (KEY,), time: str = TIME) -> DataFrame:
     """Rows not older than ``days`` before the newest row of their series."""
-    ends = df.groupBy(*keys).agg(F.max(time).alias("_end"))
+    ends = materialise(df.groupBy(*keys).agg(F.max(time).alias("_end")))
     return (
         df.join(ends, list(keys), "inner")
         .where(F.col(time) >= F.col("_end") - F.expr(f"INTERVAL {int(days)} DAY"))

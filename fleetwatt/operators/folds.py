@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from fleetwatt import KEY, TIME
 from fleetwatt.functions.clock import naive
 from fleetwatt.operators.grid import with_day
+from fleetwatt.session import materialise
 
 
 def with_end(df: DataFrame, keys: Sequence[str] = (KEY,), time: str = TIME) -> DataFrame:
-    ends = df.groupBy(*keys).agg(F.max(time).alias("_end"))
+    """Add the newest moment of the series; the written table tells the planner its size."""
+    ends = materialise(df.groupBy(*keys).agg(F.max(time).alias("_end")))
     return df.join(ends, list(keys), "inner")
 
 
@@ -41,10 +43,10 @@ def daily_folds(df: DataFrame, days: int = 7, keys: Sequence[str] = (KEY,), time
     per_day = with_day(df.select(*keys, time), time).groupBy(*keys, "day").agg(F.count(F.lit(1)).alias("_rows"))
     back = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("day").desc()))
     newest = per_day.withColumn("_back", back).where(F.col("_back") <= days)
-    held = newest.groupBy(*keys).agg(F.max("_back").alias("_held"))
-    return newest.join(held, list(keys)).select(
+    held = F.max("_back").over(Window.partitionBy(*keys))
+    return newest.select(
         *keys,
-        (F.col("_held") - F.col("_back") + 1).cast("int").alias("fold"),
+        (held - F.col("_back") + 1).cast("int").alias("fold"),
         F.col("day").alias("start"),
         naive(F.col("day") + F.expr("INTERVAL 23 HOUR")).alias("end"),
     )

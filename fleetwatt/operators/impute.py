@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from fleetwatt import KEY, TIME
 from fleetwatt.functions.clock import as_column, epoch
 from fleetwatt.functions.ordered import with_neighbours
+from fleetwatt.session import materialise
 
 
 @dataclass(frozen=True)
@@ -145,7 +146,7 @@ def knn_impute(
         .applyInPandas(lambda pdf: _knn_block(target, covariates, time, k)(pdf)[schema.names], schema)
         .select(*keys, time, F.nanvl("_vote", F.lit(None).cast("double")).alias("_vote"))
     )
-    means = df.groupBy(*keys).agg(F.avg(as_column(target)).alias("_mean"))
+    means = materialise(df.groupBy(*keys).agg(F.avg(as_column(target)).alias("_mean")))
     return (
         df.join(voted, [*keys, time], "left")
         .join(means, list(keys), "left")

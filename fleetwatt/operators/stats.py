@@ -20,6 +20,7 @@ from fleetwatt.functions.leastsq import moments, solve, stack_arrays, unpack
 from fleetwatt.functions.ordered import hash_rank, running_total, with_lags
 from fleetwatt.operators.coerce import sample_per_group
 from fleetwatt.operators.features import first_difference
+from fleetwatt.session import materialise
 
 # MacKinnon's (1994, 2010) response surfaces for a unit-root test with a
 # constant, and the KPSS (1992) level critical values with their probabilities.
@@ -35,7 +36,7 @@ KPSS_P = (0.10, 0.05, 0.025, 0.01)
 def centred(df: DataFrame, value: str = "value", keys: Sequence[str] = (KEY,)) -> DataFrame:
     """Add ``_d``, the distance to the series mean, and ``_n``, the length of the series."""
     stats = df.groupBy(*keys).agg(F.avg(as_column(value)).alias("_mean"), F.count(as_column(value)).alias("_n"))
-    return df.join(stats, list(keys), "inner").withColumn("_d", as_column(value) - F.col("_mean"))
+    return df.join(materialise(stats), list(keys), "inner").withColumn("_d", as_column(value) - F.col("_mean"))
 
 
 def autocovariance_sums(
@@ -103,7 +104,7 @@ def adf(df: DataFrame, value: str = "value", key: str = KEY, time: str = TIME, f
     """
     lengths = df.groupBy(key).agg(F.count(as_column(value)).alias("_n"))
     ceiling = F.least(F.ceil(12.0 * F.pow(F.col("_n") / 100.0, F.lit(0.25))), F.floor(F.col("_n") / 2) - 2)
-    lengths = lengths.withColumn("_m", ceiling.cast("int")).where("_m >= 0")
+    lengths = materialise(lengths.withColumn("_m", ceiling.cast("int")).where("_m >= 0"))
     reach = lengths.agg(F.max("_m")).first()[0]
     out = f"`{key}` {df.schema[key].dataType.simpleString()}, statistic double, p_value double, used_lag int, nobs long, critical_5 double"
     if reach is None:
@@ -132,7 +133,7 @@ def adf(df: DataFrame, value: str = "value", key: str = KEY, time: str = TIME, f
 
         return moment.map(pick)
 
-    chosen = moments(rows, part, wide).select(key, best_lag("moment").alias("used_lag"))
+    chosen = materialise(moments(rows, part, wide).select(key, best_lag("moment").alias("used_lag")))
     again = with_lags(df.select(key, time, as_column(value).alias("_v")), {}, [key], time, freq, past={"_y": ("_v", reach + 1)})
     again = again.join(chosen, key).where(F.size("_y") >= F.col("used_lag") + 2)
     again = again.select(key, F.slice("_y", 1, F.col("used_lag") + 2).alias("_y"))
@@ -172,9 +173,9 @@ def kpss(
         s1 = F.sum(F.col("lag") * share)
         width = first.groupBy(key).agg(F.max(n).alias("n"), F.try_divide(s1, s0).alias("_s"))
         gamma = 1.1447 * F.pow(F.col("_s") * F.col("_s"), F.lit(1 / 3))
-        width = width.select(
+        width = materialise(width.select(
             key, F.coalesce(F.least(F.floor(gamma * F.pow(n, F.lit(1 / 3))), n - 1), F.lit(0)).cast("int").alias("used_lag")
-        )
+        ))
         most = width.agg(F.max("used_lag")).first()[0] or 0
     else:
         width = df.select(key).distinct().withColumn("used_lag", F.lit(lags))

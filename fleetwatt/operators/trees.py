@@ -14,6 +14,7 @@ from fleetwatt import KEY, TIME
 from fleetwatt.functions.clock import as_column, is_weekend, later
 from fleetwatt.functions.ordered import newest
 from fleetwatt.operators.features import LAGS, cyclic_features, lag_features, ml_dataset
+from fleetwatt.operators.folds import with_end
 from fleetwatt.operators.metrics import forecast_metrics, improvement_pct
 from fleetwatt.session import ensure_checkpoint_dir
 
@@ -76,8 +77,7 @@ def ar_frame(df: DataFrame, target: str = "Demand", keys: Sequence[str] = (KEY,)
 
 
 def split_by_end(df: DataFrame, days: int = 7, keys: Sequence[str] = (KEY,), time: str = TIME) -> tuple[DataFrame, DataFrame]:
-    ends = df.groupBy(*keys).agg(F.max(time).alias("_end"))
-    marked = df.join(ends, list(keys))
+    marked = with_end(df, keys, time)
     cut = F.col("_end") - F.expr(f"INTERVAL {int(days)} DAY")
     return marked.where(F.col(time) < cut).drop("_end"), marked.where(F.col(time) >= cut).drop("_end")
 

@@ -14,6 +14,7 @@ from fleetwatt.operators.grid import resample
 from fleetwatt.plans import fixtures as fx
 from fleetwatt.plans.registry import query
 from fleetwatt.plans.sqltext import calendar, r, sql
+from fleetwatt.session import materialise
 
 CYCLE = f"hour(timestamp) * {2 * math.pi / 24!r}::double"
 SIX = ['"Demand"', "pv", '"Price"', '"Temperature"', "radiation", "pv_mod1"]
@@ -151,6 +152,23 @@ def yeo_johnson(spark, sf):
     return scores.withColumn("score", F.round("score", 6))
 
 
+@query(
+    "yeo_johnson_transform",
+    sql(f"""select series_id, timestamp, {r('y')} as value from (select *, {_YJ} as y from (select series_id, timestamp, "Temperature" as x, 0.5::double as "lambda" from W) a) b"""),
+)
+def yeo_johnson_transform(spark, sf):
+    return fx.wide(spark, sf).select(KEY, TIME, features.yeo_johnson("Temperature", 0.5).alias("value"))
+
+
+@query(
+    "thousands_separator",
+    f"""select o_orderpriority as series_id, format('{{:,}}', count(*)) as shown from orders group by 1""",
+)
+def thousands_separator(spark, sf):
+    rows = fx.table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias(KEY)).agg(F.count("*").alias("n"))
+    return rows.select(KEY, features.show_thousands("n").alias("shown"))
+
+
 _LONG6 = " union all ".join(f"select '{n}' as variable, {c} as value from W" for c, n in zip(SIX, SIX_NAMES))
 
 
@@ -163,7 +181,7 @@ _LONG6 = " union all ".join(f"select '{n}' as variable, {c} as value from W" for
     ),
 )
 def describe(spark, sf):
-    return profile.describe(fx.wide(spark, sf), SIX_NAMES)
+    return profile.describe(materialise(fx.wide(spark, sf)), SIX_NAMES)
 
 
 @query(
