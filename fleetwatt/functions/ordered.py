@@ -33,6 +33,23 @@ def _sliced(df: DataFrame, keys: Sequence[str], time: str, unit: str) -> DataFra
     return rows
 
 
+def slice_unit(
+    df: DataFrame, keys: Sequence[str] = (KEY,), time: str = TIME, most: int = 2_000_000
+) -> str:
+    """The coarsest slice in which no series has more than ``most`` rows.
+
+    Gridded rows never need this; raw rows may be dense, and one series may hold a
+    large part of them.  Counts per series and minute merge map-side.
+    """
+    counts = df.groupBy(*keys, F.date_trunc("minute", as_column(time)).alias("_minute")).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = materialise(counts)
+    for unit in ("month", "day", "hour"):
+        widest = counts.groupBy(*keys, F.date_trunc(unit, "_minute").alias("_u")).agg(F.sum("_rows").alias("_rows"))
+        if (widest.agg(F.max("_rows")).first()[0] or 0) <= most:
+            return unit
+    return "minute"
+
+
 def with_neighbours(
     df: DataFrame,
     cols: Sequence[str],
@@ -65,11 +82,17 @@ def with_neighbours(
         "*", *[F.last(k, ignorenulls=True).over(down.rowsBetween(*FROM_START)).alias(f"_n{i}") for i, k in known.items()]
     )
 
-    edges = rows.groupBy(*part).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.max(k).alias(f"_l{i}") for i, k in known.items()],
-        *[F.min(k).alias(f"_f{i}") for i, k in known.items()],
-    )
+    # plain columns instead of structs keep this a hash aggregate
+    ends: list[Column] = []
+    for i, c in enumerate(cols):
+        at, pos = (F.when(as_column(c).isNotNull(), F.col(x)) for x in (time, "_pos"))
+        ends += [F.max(at).alias(f"_la{i}"), F.max(pos).alias(f"_lp{i}"), F.max_by(as_column(c), pos).alias(f"_lv{i}")]
+        ends += [F.min(at).alias(f"_fa{i}"), F.min(pos).alias(f"_fp{i}"), F.min_by(as_column(c), pos).alias(f"_fv{i}")]
+    edges = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("_rows"), *ends)
+    for side in "lf":
+        for i in known:
+            found = F.struct(F.col(f"_{side}a{i}").alias("at"), F.col(f"_{side}p{i}").alias("pos"), F.col(f"_{side}v{i}").alias("value"))
+            edges = edges.withColumn(f"_{side}{i}", F.when(F.col(f"_{side}p{i}").isNotNull(), found))
     along = Window.partitionBy(*keys).orderBy(SLICE)
     against = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc())
     edges = edges.withColumn("_off", F.coalesce(F.sum("_rows").over(along.rowsBetween(*BEFORE)), F.lit(0)))

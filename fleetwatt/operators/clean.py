@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from fleetwatt import KEY, TIME
 from fleetwatt.functions.clock import as_column
+from fleetwatt.functions.ordered import slice_unit
 from fleetwatt.operators.coerce import (
     clip_negative,
     columns_like,
@@ -52,7 +53,7 @@ def clean_dataset(df: DataFrame, key: str = KEY, time: str = TIME, order: tuple[
     both = work.withColumns({f"_raw_{c}": as_column(c) for c in [*pv, *demand]})
     rules = {c: Fill("time", limit=PV_LIMIT) for c in pv} | {c: Fill("forward", back=False, limit=DEMAND_LIMIT) for c in demand}
     if rules:
-        both = fill(both, rules, [key], time, order=order)
+        both = fill(both, rules, [key], time, unit=slice_unit(work, [key], time), order=order)
     both = both.withColumns({f"_full_{c}": as_column(c) for c in [*pv, *demand]})
     both = both.withColumns({c: clip_negative(c) for c in [*pv, *demand]})
 

@@ -46,7 +46,8 @@ def _filled(i: int, c: str, rule: Fill, time: str) -> Column:
         F.when(as_column(c).isNotNull(), as_column(c))
         .when(p.isNull(), after if rule.back else F.lit(None).cast("double"))
         .when(n.isNull(), before)
-        .otherwise(before + (after - before) * ((x - x0) / (x1 - x0)))
+        .when(x1 > x0, before + (after - before) * ((x - x0) / (x1 - x0)))
+        .otherwise(after)  # known readings of the same moment on both sides
     )
     if rule.limit is None:
         return value

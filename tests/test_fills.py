@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from fleetwatt.functions.ordered import newest, running_total, with_lags
+from fleetwatt.functions.ordered import newest, running_total, slice_unit, with_lags
 from fleetwatt.functions.quantiles import exact_quantiles
 from fleetwatt.operators import clean, coerce, grid, impute, missing
 from frames import SERIES, START, gappy, hours, series, values
@@ -115,6 +115,14 @@ def test_running_total_and_newest(spark):
     assert [r["timestamp"] for r in last] == hours(N)[-900:]
 
 
+def test_slices_follow_the_density(spark):
+    df = series(spark, [float(i) for i in range(100)])
+    assert [slice_unit(df, most=m) for m in (100, 24, 1, 0)] == ["month", "day", "hour", "minute"]
+    gaps = series(spark, GAPS)
+    want = values(impute.interpolate(gaps, ["value"], limit=4))
+    assert values(impute.interpolate(gaps, ["value"], limit=4, unit="hour")) == want
+
+
 def test_exact_quantiles_on_skewed_and_tied_values(spark):
     rng = np.random.default_rng(0)
     vals = np.concatenate([rng.lognormal(0, 3, 4000), np.zeros(3000), [1e12, -5.0]])
