@@ -56,6 +56,13 @@ def test_irregular_rows(spark):
     same(values(impute.forward_fill(df, ["value"], limit=3)), p.ffill(limit=3))
 
 
+def test_gap_between_readings_of_one_moment(spark):
+    rows = [("a", START, v, n) for n, v in enumerate([1.0, None, 3.0])]
+    df = spark.createDataFrame(rows, SERIES + ", n int")
+    got = impute.interpolate(df, ["value"], order=["n"]).orderBy("n").collect()
+    assert [r["value"] for r in got] == [1.0, 3.0, 3.0]
+
+
 def test_forward_fill_equals_pandas(spark):
     df = series(spark, GAPS)
     same(values(impute.forward_fill(df, ["value"], limit=3)), as_pandas().ffill(limit=3))
