@@ -10,7 +10,7 @@ from fleetwatt.operators import clean, coerce
 from fleetwatt.plans import fixtures as fx
 from fleetwatt.plans.registry import query
 from fleetwatt.plans.sqltext import ffill, interp, r, sql
-from fleetwatt.session import shared_path
+from fleetwatt.session import materialise, shared_path
 from fleetwatt.sources import readers, schemas, writers
 
 
@@ -235,7 +235,7 @@ _CLEAN = {
 def _raw_meter(spark: SparkSession, sf: str) -> DataFrame:
     """The wide table as text-and-number input with absent hours and negative readings."""
     rows = fx.wide(spark, sf).where(F.hour(TIME) != 3)
-    return rows.select(
+    rows = rows.select(
         KEY,
         F.col(TIME).cast("string").alias(TIME),
         (F.col("Demand") - 0.2).cast("string").alias("Demand"),
@@ -243,6 +243,8 @@ def _raw_meter(spark: SparkSession, sf: str) -> DataFrame:
         "pv_mod1",
         "Price",
     )
+    # cleaning looks at its input several times
+    return materialise(rows)
 
 
 @query(
