@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetwatt.llm import substring_dedup
+from fleetwatt.llm import line_dedup, quality, simhash, substring_dedup
 from fleetwatt.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,9 +17,14 @@ def _ready(build: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op5_simhash": _ready(simhash.op5_simhash),
+    "op7_line_dedup": _ready(line_dedup.op7_line_dedup),
+    "op8_quality_rules": _ready(quality.op8_quality_rules),
     "op9_substring_dedup": _ready(substring_dedup.op9_substring_dedup),
 }
 
 ORACLES: dict[str, str] = {
+    "op7_line_dedup": line_dedup.OP7_SQL,
+    "op8_quality_rules": quality.OP8_SQL,
     "op9_substring_dedup": substring_dedup.OP9_SQL,
 }
