@@ -56,32 +56,35 @@ def _rolling(h: np.ndarray, window: int, base: int) -> np.ndarray:
 
 
 def _windows(texts: list[bytes], window: int, parts: int):
-    """Words per text, word counts, window starts in part order, their hashes, rows per part."""
-    words = [t.split() for t in texts]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    known, n = _Hashes(), int(sizes.sum())
-    h = np.fromiter((known[w] for doc in words for w in doc), np.uint64, n)
+    """Word counts, window starts in part order, their hashes, rows per part."""
+    known, each = _Hashes(), []
+    for t in texts:
+        words = t.split()
+        each.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
+    sizes = np.fromiter(map(len, each), np.int64, len(each))
+    h = np.concatenate(each)
+    del known, each
+    n = len(h)
     if n < window:
-        starts = np.zeros(0, np.int64)
-        return words, sizes, starts, np.zeros(0, np.uint64), np.zeros(parts, np.int64)
+        return sizes, np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(parts, np.int64)
     ends = np.repeat(np.cumsum(sizes), sizes)[: n + 1 - window]
     starts = np.flatnonzero(np.arange(window, n + 1) <= ends)
     part = (_rolling(_mixed(h), window, _BASE[1])[starts] >> np.uint64(24)) % np.uint64(parts)
     part = part.astype(np.uint16 if parts <= 2**16 else np.uint32)
     order = np.argsort(part, kind="stable")
     starts = starts[order]
-    return words, sizes, starts, _rolling(h, window, _BASE[0])[starts], np.bincount(part, minlength=parts)
+    return sizes, starts, _rolling(h, window, _BASE[0])[starts], np.bincount(part, minlength=parts)
 
 
 def _in_order(block: pd.DataFrame) -> pd.DataFrame:
     return block.sort_values(["_id", "_text"], kind="stable", ignore_index=True)
 
 
-def _kept(text: bytes, words: list[bytes], gone: np.ndarray, layout: bool) -> bytes:
-    if not gone.any():
-        return text if layout else b" ".join(words)
+def _kept(text: bytes, gone: np.ndarray, layout: bool) -> bytes:
     if not layout:
-        return b" ".join(w for w, g in zip(words, gone) if not g)
+        return b" ".join(text.split() if not gone.any() else [w for w, g in zip(text.split(), gone.tolist()) if not g])
+    if not gone.any():
+        return text
     out, at = [], 0
     found = list(_WORD.finditer(text))
     for i, m in enumerate(found):
@@ -99,7 +102,8 @@ def remove_repeats(
     text_col: str = "text",
     layout: bool = False,
     carry: tuple[str, ...] = (),
-    block_mb: float = 24.0,
+    block_mb: float = 8.0,
+    part_mb: float = 24.0,
 ) -> DataFrame:
     """Remove every word covered by a window whose words also start earlier in the corpus.
 
@@ -115,11 +119,11 @@ def remove_repeats(
     an empty table.  Other columns are not read, whatever their names.
     """
     spread = dealt(docs, id_col, text_col, block_mb, carry)
-    parts = max(spread.count, math.ceil(spread.text_bytes / (block_mb * 1e6)))
+    parts = max(2 * docs.sparkSession.sparkContext.defaultParallelism, math.ceil(spread.text_bytes / (part_mb * 1e6)))
 
     def send(block: pd.DataFrame) -> pd.DataFrame:
         block = _in_order(block)
-        _, _, _, h, rows = _windows(list(block["_text"]), window, parts)
+        _, _, h, rows = _windows(list(block["_text"]), window, parts)
         cuts = np.concatenate([[0], np.cumsum(rows)])
         some = np.flatnonzero(rows)
         return pd.DataFrame(
@@ -146,7 +150,7 @@ def remove_repeats(
     def cut(block: pd.DataFrame, flags: pd.DataFrame) -> pd.DataFrame:
         block = _in_order(block)
         texts = list(block["_text"])
-        words, sizes, starts, _, rows = _windows(texts, window, parts)
+        sizes, starts, _, rows = _windows(texts, window, parts)
         again = np.zeros(len(starts), bool)
         begin = np.concatenate([[0], np.cumsum(rows)])
         for p, bits in zip(flags["_part"], flags["_flags"]):
@@ -162,7 +166,7 @@ def remove_repeats(
             change = np.flatnonzero(np.diff(mine.astype(np.int8), prepend=0, append=0))
             removed.append(int(mine.sum()))
             spans.append([{"start": int(a), "length": int(b - a)} for a, b in zip(change[::2], change[1::2])])
-            kept.append(_kept(text, words[i], mine, layout).decode())
+            kept.append(_kept(text, mine, layout).decode())
         out = {"_id": block["_id"], "n_words": sizes, "n_removed": removed, "spans": spans, "kept_text": kept}
         return pd.DataFrame(out | {f"_c{i}": block[f"_c{i}"] for i in range(len(carry))})
 
