@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetwatt.llm import line_dedup, quality, simhash, substring_dedup
+from fleetwatt.llm import langid, line_dedup, packing, quality, sentencepiece, sharding, simhash, substring_dedup, topk
 from fleetwatt.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,13 +17,19 @@ def _ready(build: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_sentencepiece": _ready(sentencepiece.op1_sentencepiece),
+    "op2_packing": _ready(packing.op2_packing),
+    "op3_langid": _ready(langid.op3_langid),
+    "op4_topk": _ready(topk.op4_topk),
     "op5_simhash": _ready(simhash.op5_simhash),
+    "op6_sharding": _ready(sharding.op6_sharding),
     "op7_line_dedup": _ready(line_dedup.op7_line_dedup),
     "op8_quality_rules": _ready(quality.op8_quality_rules),
     "op9_substring_dedup": _ready(substring_dedup.op9_substring_dedup),
 }
 
 ORACLES: dict[str, str] = {
+    "op4_topk": topk.OP4_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op8_quality_rules": quality.OP8_SQL,
     "op9_substring_dedup": substring_dedup.OP9_SQL,
