@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetwatt.llm import langid, line_dedup, packing, quality, sentencepiece, sharding, simhash, substring_dedup, topk
+from fleetwatt.llm import langid, line_dedup, lm, packing, quality, sentencepiece, sharding, simhash, substring_dedup, topk
 from fleetwatt.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,7 @@ QUERIES: dict[str, Query] = {
     "op7_line_dedup": _ready(line_dedup.op7_line_dedup),
     "op8_quality_rules": _ready(quality.op8_quality_rules),
     "op9_substring_dedup": _ready(substring_dedup.op9_substring_dedup),
+    "op10_lm_scoring": _ready(lm.op10_lm_scoring),
 }
 
 ORACLES: dict[str, str] = {
