@@ -4,15 +4,14 @@ Documents start in hashed shards.  Equal texts are linked; their link is one row
 group and shard, never a pair.  Each round a group's documents want to move to the
 shard that holds most of them and has room, as many as its quota admits, in the order of
 a hash that keeps a group together (documents of a large group are admitted one by one).
-At last shards above their exact share give their surplus, unlinked documents first, to
-those below.  Ranks are distributed: a count per shard and hash range, offsets over that
+A shard's quota is its even share less the linked documents it holds: unlinked ones give
+way.  At last shards above their exact share give their surplus, unlinked documents
+first, to those below.  Ranks are distributed: a count per shard and hash range, offsets over that
 small table, and row numbers within a range.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,8 +19,6 @@ from fleetwatt.llm.common import column, id_back, id_key, settled
 
 SHARDS = 24
 ROUNDS = 4
-#: Room above an even share that shards may use while documents still move.
-SLACK = 0.25
 #: Documents of larger groups are admitted by themselves, those of smaller ones together.
 TOGETHER = 256
 #: Hash ranges of a shard, as a power of two; a range is ranked by one task.
@@ -54,11 +51,11 @@ def _look(values: list[int], key: str) -> Column:
     return F.element_at(F.array(*[F.lit(int(v)).cast("long") for v in values]), F.col(key) + 1)
 
 
-def _round(now: DataFrame, shards: int, room: int) -> DataFrame:
+def _round(now: DataFrame, shards: int, share: int) -> DataFrame:
     """Move linked documents to the shard that holds most of their group and has room."""
-    held = _counts(now, "_shard", shards)
-    open_shard = _look([int(n < room) for n in held], "_shard") == 1
     linked = now.where("_linked > 1")
+    quota = [max(0, share - n) for n in _counts(linked, "_shard", shards)]
+    open_shard = _look(quota, "_shard") > 0
     votes = linked.groupBy("_group", "_shard").agg(F.count(F.lit(1)).alias("_n"))
     ranked = F.struct(F.col("_n"), F.xxhash64("_group", "_shard").alias("_h"), F.col("_shard").alias("_s"))
     wish = votes.groupBy("_group").agg(F.max(ranked).alias("_best"), F.max(F.when(open_shard, ranked)).alias("_open"))
@@ -68,10 +65,8 @@ def _round(now: DataFrame, shards: int, room: int) -> DataFrame:
     mine = mine.where((F.col("_shard") != F.col("_main")) & F.col("_aim").isNotNull() & (F.col("_shard") != F.col("_aim")))
     mine = mine.where(F.struct("_n", F.xxhash64("_group", "_shard")) < F.struct("_at_aim", F.xxhash64("_group", "_aim")))
     together = F.when(F.col("_linked") > TOGETHER, F.xxhash64("_row", F.lit(5))).otherwise(F.xxhash64("_group", F.lit(5)))
-    movers = mine.select("_row", "_shard", "_aim", _positive(together).alias("_order"))
-    movers = settled(_ranked(movers, "_aim", "_order", "_row", "_rank"))
-    leaving = _counts(movers, "_shard", shards)
-    quota = [max(0, room - (n - out)) for n, out in zip(held, leaving)]
+    movers = mine.select("_row", "_aim", _positive(together).alias("_order"))
+    movers = _ranked(movers, "_aim", "_order", "_row", "_rank")
     admitted = movers.where(F.col("_rank") < _look(quota, "_aim")).select("_row", "_aim")
     moved = now.join(admitted, "_row", "left")
     return settled(moved.withColumn("_shard", F.coalesce("_aim", "_shard")).drop("_aim"))
@@ -128,9 +123,8 @@ def shards_of(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, id_co
     start = F.pmod(F.xxhash64("_id", "_row", F.lit(1)), F.lit(shards)).cast("int")
     now = own.select("_row", "_group").join(groups, "_group").join(own.select("_row", "_id"), "_row")
     now = settled(now.select("_row", "_group", "_linked", start.alias("_shard"), start.alias("_start")))
-    room = math.ceil(total / shards * (1 + SLACK))
     for _ in range(rounds):
-        now = _round(now, shards, room)
+        now = _round(now, shards, total // shards)
     now = _evened(now, shards, total)
     slots = _ranked(now.withColumn("_order", _positive(F.xxhash64("_row", F.lit(13)))), "_shard", "_order", "_row", "slot")
     out = own.drop("_group").join(slots, "_row")
