@@ -50,7 +50,7 @@ class Blocks:
     text_bytes: int
 
 
-def dealt(docs: DataFrame, id_col: str, text_col: str, block_mb: float, carry: tuple[str, ...] = ()) -> Blocks:
+def dealt(docs: DataFrame, id_col: str, text_col: str, block_mb: float, carry: tuple[str | Column, ...] = ()) -> Blocks:
     """``_block, _id, _text`` (and ``_c0 ..``, the carried columns), one partition per block or less.
 
     A block holds about ``block_mb`` of text; its boundaries are quantiles of the id, so
@@ -59,14 +59,16 @@ def dealt(docs: DataFrame, id_col: str, text_col: str, block_mb: float, carry: t
     """
     spark = docs.sparkSession
     keyed = docs.select(
-        id_key(id_col).alias("_id"), text_bytes(text_col).alias("_text"), *[column(c).alias(f"_c{i}") for i, c in enumerate(carry)]
+        id_key(id_col).alias("_id"),
+        text_bytes(text_col).alias("_text"),
+        *[(column(c) if isinstance(c, str) else c).alias(f"_c{i}") for i, c in enumerate(carry)],
     )
     total = keyed.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     count = max(2 * spark.sparkContext.defaultParallelism, math.ceil(total / (block_mb * 1e6)))
     points = [i / count for i in range(1, count)]
     cuts = keyed.agg(F.percentile_approx("_id", points, 20 * count)).first()[0] or []
     inner = sorted({float(c) for c in cuts})
-    splits = [-math.inf, *inner, math.inf]
+    splits = [-math.inf, *(inner or [0.0]), math.inf]
     placed = Bucketizer(splits=splits, inputCol="_at", outputCol="_block").transform(keyed.withColumn("_at", F.col("_id").cast("double")))
     placed = placed.withColumn("_block", F.col("_block").cast("int")).drop("_at")
     return Blocks(placed.repartition(count, "_block"), count, total)

@@ -203,9 +203,10 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
 def decode(encoded: DataFrame, model: str = MODEL, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """The table with the text of its ids; null ids give null, no ids the empty text.
 
-    Inverse of ``encode`` but for the mark itself, which reads back as a space.
+    Inverse of ``encode`` but for the mark itself, which reads back as a space.  A column
+    that is already named ``out_col`` is replaced.
     """
-    names = encoded.columns
+    names = [c for c in encoded.columns if c != out_col]
     inner = encoded.select(*[column(c).alias(f"_c{i}") for i, c in enumerate(names)])
     at = names.index(ids_col)
 

@@ -238,9 +238,12 @@ def one_of_each(docs: DataFrame, shingle: int = 3, most: int = 3, id_col: str =
 
     Rows that share an id are one document and stay or go together.
     """
-    marked = near_copies(docs, shingle, most, id_col, text_col)
-    gone = marked.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, column(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    names = docs.columns
+    marked = near_copies(docs, shingle, most, id_col, text_col).select(id_key(id_col).alias("_gone"), id_key("component_id").alias("_first"))
+    gone = marked.where("_gone <> _first").select("_gone").distinct()
+    inner = docs.select(id_key(id_col).alias("_id"), *[column(c).alias(f"_c{i}") for i, c in enumerate(names)])
+    left = inner.join(gone, F.col("_id") == F.col("_gone"), "left_anti")
+    return left.select(*[column(f"_c{i}").alias(c) for i, c in enumerate(names)])
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:

@@ -48,6 +48,8 @@ class Index:
                 alive, total = np.arange(len(block_ids)), q @ x
             else:
                 alive, total = self._competitive(q, x, low, high, scores[-1])
+            if total.dtype == object:
+                total = np.clip(total, -_LONG, _LONG - 1)
             mine = block_ids[alive] != own
             ids = np.concatenate([ids, block_ids[alive][mine]])
             scores = np.concatenate([scores, total[mine]])
@@ -141,8 +143,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = 64, id_
                 index = Index(np.frombuffer(ids, np.int64), _numbers(x, dims, kind))
                 for own, q in zip(np.frombuffer(asked_ids, np.int64), _numbers(qx, dims, kind)):
                     found, scores = index.search(own, q, k)
-                    score = [min(max(int(s), -_LONG), _LONG - 1) for s in scores]
-                    yield pd.DataFrame({"query_id": own, "vec_id": found, "score": np.array(score, np.int64)})
+                    yield pd.DataFrame({"query_id": own, "vec_id": found, "score": scores.astype(np.int64)})
 
     def gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         some, size = [], 0
