@@ -26,28 +26,12 @@ def _slice(time: str | Column, unit: str) -> Column:
     return F.date_trunc(unit, as_column(time))
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], time: str, unit: str) -> DataFrame:
-    rows = df.withColumn(SLICE, _slice(time, unit))
-    for c in [*keys, SLICE]:
-        rows = rows.where(as_column(c).isNotNull())
-    return rows
-
-
-def slice_unit(
-    df: DataFrame, keys: Sequence[str] = (KEY,), time: str = TIME, most: int = 2_000_000
-) -> str:
-    """The coarsest slice in which no series has more than ``most`` rows.
-
-    Gridded rows never need this; raw rows may be dense, and one series may hold a
-    large part of them.  Counts per series and minute merge map-side.
-    """
-    counts = df.groupBy(*keys, F.date_trunc("minute", as_column(time)).alias("_minute")).agg(F.count(F.lit(1)).alias("_rows"))
-    counts = materialise(counts)
-    for unit in ("month", "day", "hour"):
-        widest = counts.groupBy(*keys, F.date_trunc(unit, "_minute").alias("_u")).agg(F.sum("_rows").alias("_rows"))
-        if (widest.agg(F.max("_rows")).first()[0] or 0) <= most:
-            return unit
-    return "minute"
+def _placed(keys: Sequence[str]) -> Column:
+    """The row belongs to a series and has a moment."""
+    known = F.col(SLICE).isNotNull()
+    for c in keys:
+        known = known & as_column(c).isNotNull()
+    return known
 
 
 def with_neighbours(
@@ -62,16 +46,17 @@ def with_neighbours(
     ``_prev_<i>`` / ``_next_<i>``: the nearest known reading at or before / at or
     after the row, as ``struct(at, pos, value)``, null where there is none.
 
-    ``order`` breaks ties between rows of the same moment.
+    ``order`` breaks ties between rows of the same moment.  Rows without a series or a
+    moment are kept; they have no position and no neighbours.
     """
     part = [*keys, SLICE]
-    rows = _sliced(df, keys, time, unit)
+    rows = df.withColumn(SLICE, _slice(time, unit))
     up = Window.partitionBy(*part).orderBy(time, *order)
     down = Window.partitionBy(*part).orderBy(F.col(time).desc(), *[F.col(c).desc() for c in order])
-    rows = rows.withColumn("_pos", F.row_number().over(up).cast("long"))
+    rows = rows.withColumn("_pos", F.when(_placed(keys), F.row_number().over(up).cast("long")))
     known = {
         i: F.when(
-            as_column(c).isNotNull(),
+            as_column(c).isNotNull() & _placed(keys),
             F.struct(F.col(time).alias("at"), F.col("_pos").alias("pos"), as_column(c).alias("value")),
         )
         for i, c in enumerate(cols)
@@ -88,7 +73,7 @@ def with_neighbours(
         at, pos = (F.when(as_column(c).isNotNull(), F.col(x)) for x in (time, "_pos"))
         ends += [F.max(at).alias(f"_la{i}"), F.max(pos).alias(f"_lp{i}"), F.max_by(as_column(c), pos).alias(f"_lv{i}")]
         ends += [F.min(at).alias(f"_fa{i}"), F.min(pos).alias(f"_fp{i}"), F.min_by(as_column(c), pos).alias(f"_fv{i}")]
-    edges = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("_rows"), *ends)
+    edges = rows.where(_placed(keys)).groupBy(*part).agg(F.count(F.lit(1)).alias("_rows"), *ends)
     for side in "lf":
         for i in known:
             found = F.struct(F.col(f"_{side}a{i}").alias("at"), F.col(f"_{side}p{i}").alias("pos"), F.col(f"_{side}v{i}").alias("value"))
@@ -113,13 +98,13 @@ def with_neighbours(
         *[F.last(shifted(f"_l{i}"), ignorenulls=True).over(along.rowsBetween(*BEFORE)).alias(f"_cp{i}") for i in known],
         *[F.last(shifted(f"_f{i}"), ignorenulls=True).over(against.rowsBetween(*BEFORE)).alias(f"_cn{i}") for i in known],
     )
-    # every slice has its edges; the inner join lets both branches share one shuffle
-    joined = rows.join(edges, part, "inner")
+    # both branches share one shuffle; only rows without a series or a moment find no edges
+    joined = rows.join(edges, part, "left")
     out = joined.select(
         *[as_column(c) for c in df.columns],
         (F.col("_pos") + F.col("_off")).alias("_pos"),
-        *[F.coalesce(shifted(f"_p{i}"), F.col(f"_cp{i}")).alias(f"_prev_{i}") for i in known],
-        *[F.coalesce(shifted(f"_n{i}"), F.col(f"_cn{i}")).alias(f"_next_{i}") for i in known],
+        *[F.when(F.col("_off").isNotNull(), F.coalesce(shifted(f"_p{i}"), F.col(f"_cp{i}"))).alias(f"_prev_{i}") for i in known],
+        *[F.when(F.col("_off").isNotNull(), F.coalesce(shifted(f"_n{i}"), F.col(f"_cn{i}"))).alias(f"_next_{i}") for i in known],
     )
     return out
 
@@ -127,18 +112,22 @@ def with_neighbours(
 def running_total(
     df: DataFrame, cols: dict[str, Column], keys: Sequence[str] = (KEY,), time: str = TIME, unit: str = "month"
 ) -> DataFrame:
-    """Add running sums along each series; nulls count as zero."""
+    """Add running sums along each series; nulls count as zero.
+
+    Rows without a series or a moment are kept with null sums.
+    """
     part = [*keys, SLICE]
-    rows = _sliced(df, keys, time, unit)
+    rows = df.withColumn(SLICE, _slice(time, unit))
     up = Window.partitionBy(*part).orderBy(time).rowsBetween(*FROM_START)
     rows = rows.select("*", *[F.sum(F.coalesce(e, F.lit(0))).over(up).alias(f"_in_{n}") for n, e in cols.items()])
     along = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(*BEFORE)
     carried = (
-        rows.groupBy(*part)
+        rows.where(_placed(keys))
+        .groupBy(*part)
         .agg(*[F.sum(F.coalesce(e, F.lit(0))).alias(f"_t_{n}") for n, e in cols.items()])
         .select(*part, *[F.coalesce(F.sum(f"_t_{n}").over(along), F.lit(0)).alias(f"_c_{n}") for n in cols])
     )
-    return rows.join(carried, part, "inner").select(
+    return rows.join(carried, part, "left").select(
         *[as_column(c) for c in df.columns],
         *[(F.col(f"_in_{n}") + F.col(f"_c_{n}")).alias(n) for n in cols],
     )

@@ -10,6 +10,7 @@ planner knows the size of what it joins to them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,8 +21,12 @@ from fleetwatt.session import materialise
 
 
 def _cell(v: Column, lo: Column, hi: Column, cells: int) -> Column:
-    part = F.floor((v - lo) / (hi - lo) * cells)
-    return F.when(hi > lo, F.least(part, F.lit(cells - 1)).cast("int")).otherwise(F.lit(0))
+    """Infinite values get cells of their own below and above the finite range."""
+    far = F.lit(1.7976931348623157e308)
+    floor, top = F.greatest(lo, -far), F.least(hi, far)
+    part = F.floor(((v / 2 - floor / 2) / (top / 2 - floor / 2)) * cells)
+    inside = F.when(top > floor, F.least(part, F.lit(cells - 1)).cast("int")).otherwise(F.lit(0))
+    return F.when(v == F.lit(-math.inf), F.lit(-1)).when(v == F.lit(math.inf), F.lit(cells)).otherwise(inside)
 
 
 def exact_quantiles(
@@ -34,7 +39,7 @@ def exact_quantiles(
 ) -> DataFrame:
     """``keys, prob, quantile`` with linear interpolation between order statistics."""
     keys = list(keys)
-    rows = df.select(*keys, as_column(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    rows = df.select(*keys, F.nanvl(as_column(value).cast("double"), F.lit(None).cast("double")).alias("_v")).where("_v IS NOT NULL")
     rows = rows.withColumn("_all", F.lit(1))
     path = [*keys, "_all"]
     whole = materialise(
@@ -76,9 +81,7 @@ def exact_quantiles(
         targets.join(tail, path, "inner")
         .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
     )
-    return found.groupBy(*keys, "prob").agg(
-        (
-            F.max(F.when(F.col("_side") == 0, F.col("_v"))) * (1 - F.max("_frac"))
-            + F.max(F.when(F.col("_side") == 1, F.col("_v"))) * F.max("_frac")
-        ).alias("quantile")
-    )
+    low, high, part = F.max(F.when(F.col("_side") == 0, F.col("_v"))), F.max(F.when(F.col("_side") == 1, F.col("_v"))), F.max("_frac")
+    # an infinite neighbour has no share in an exact rank, and equal neighbours need none
+    between = F.when((part == 0) | (low == high), low).otherwise(low * (1 - part) + high * part)
+    return found.groupBy(*keys, "prob").agg(between.alias("quantile"))

@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from fleetwatt import KEY, TIME
 from fleetwatt.functions.clock import as_column
-from fleetwatt.functions.ordered import slice_unit
 from fleetwatt.operators.coerce import (
     clip_negative,
     columns_like,
@@ -26,6 +25,9 @@ DEMAND_WORDS = ("demand",)
 PV_LIMIT = 4
 DEMAND_LIMIT = 3
 
+#: Raw readings are ordered within one day of a series at a time, however long it is.
+RAW_SLICE = "day"
+
 
 @dataclass(frozen=True)
 class Cleaned:
@@ -38,7 +40,8 @@ def clean_dataset(df: DataFrame, key: str = KEY, time: str = TIME, order: tuple[
 
     PV columns are interpolated up to four rows from a reading, demand columns are
     carried forward up to three rows, negatives become zero, and rows whose demand is
-    still unknown go.  ``log`` has one row per (step, column) with the rows it touched.
+    still unknown go.  Rows without a series are kept, but have no neighbours to be filled
+    from.  ``log`` has one row per (step, column) with the rows it touched.
     """
     timed = df.withColumn("_time", parse_time(time))
     unreadable = timed.agg(F.count_if(F.col("_time").isNull()).alias("count"))
@@ -53,7 +56,7 @@ def clean_dataset(df: DataFrame, key: str = KEY, time: str = TIME, order: tuple[
     both = work.withColumns({f"_raw_{c}": as_column(c) for c in [*pv, *demand]})
     rules = {c: Fill("time", limit=PV_LIMIT) for c in pv} | {c: Fill("forward", back=False, limit=DEMAND_LIMIT) for c in demand}
     if rules:
-        both = fill(both, rules, [key], time, unit=slice_unit(work, [key], time), order=order)
+        both = fill(both, rules, [key], time, unit=RAW_SLICE, order=order)
     both = both.withColumns({f"_full_{c}": as_column(c) for c in [*pv, *demand]})
     both = both.withColumns({c: clip_negative(c) for c in [*pv, *demand]})
 
@@ -68,6 +71,7 @@ def clean_dataset(df: DataFrame, key: str = KEY, time: str = TIME, order: tuple[
     lost = None
     for c in demand:
         lost = as_column(c).isNull() if lost is None else lost | as_column(c).isNull()
+    counts["rows without a series", key] = F.count_if(as_column(key).isNull())
     if lost is not None:
         counts["dropped rows with long demand gaps", "*"] = F.count_if(lost)
     names = list(counts)

@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from fleetwatt.functions.ordered import newest, running_total, slice_unit, with_lags
+from fleetwatt.functions.ordered import newest, running_total, with_lags
 from fleetwatt.functions.quantiles import exact_quantiles
 from fleetwatt.operators import clean, coerce, grid, impute, missing
 from frames import SERIES, START, gappy, hours, series, values
@@ -122,12 +122,24 @@ def test_running_total_and_newest(spark):
     assert [r["timestamp"] for r in last] == hours(N)[-900:]
 
 
-def test_slices_follow_the_density(spark):
-    df = series(spark, [float(i) for i in range(100)])
-    assert [slice_unit(df, most=m) for m in (100, 24, 1, 0)] == ["month", "day", "hour", "minute"]
+def test_finer_slices_change_nothing(spark):
     gaps = series(spark, GAPS)
     want = values(impute.interpolate(gaps, ["value"], limit=4))
-    assert values(impute.interpolate(gaps, ["value"], limit=4, unit="hour")) == want
+    for unit in ("day", "hour"):
+        assert values(impute.interpolate(gaps, ["value"], limit=4, unit=unit)) == want
+
+
+def test_rows_without_a_series_stay(spark):
+    rows = [("a", hours(30)[i], float(i) if i % 3 else None) for i in range(30)]
+    rows += [(None, hours(30)[i], None if i % 2 else 1.0) for i in range(10)] + [("a", None, 5.0), ("a", None, None)]
+    df = spark.createDataFrame(rows, "series_id string, timestamp timestamp_ntz, value double")
+    got = impute.interpolate(df, ["value"]).collect()
+    assert len(got) == len(rows)
+    loose = sorted(str(r["value"]) for r in got if r["series_id"] is None or r["timestamp"] is None)
+    assert loose == sorted(str(v) for k, t, v in rows if k is None or t is None)
+    assert all(r["value"] is not None for r in got if r["series_id"] and r["timestamp"])
+    total = running_total(df, {"total": F.col("value")}).collect()
+    assert len(total) == len(rows) and sum(r["total"] is None for r in total) == 12
 
 
 def test_exact_quantiles_on_skewed_and_tied_values(spark):
