@@ -36,7 +36,7 @@ KPSS_P = (0.10, 0.05, 0.025, 0.01)
 def centred(df: DataFrame, value: str = "value", keys: Sequence[str] = (KEY,)) -> DataFrame:
     """Add ``_d``, the distance to the series mean, and ``_n``, the length of the series."""
     stats = df.groupBy(*keys).agg(F.avg(as_column(value)).alias("_mean"), F.count(as_column(value)).alias("_n"))
-    return df.join(materialise(stats), list(keys), "inner").withColumn("_d", as_column(value) - F.col("_mean"))
+    return df.join(materialise(stats), list(keys), "left").withColumn("_d", as_column(value) - F.col("_mean"))
 
 
 def autocovariance_sums(
@@ -44,9 +44,12 @@ def autocovariance_sums(
 ) -> DataFrame:
     """``keys, lag, s, n``: sums of d(t)·d(t-lag) around the series mean, on a complete grid."""
     rows = centred(df, value, keys).select(*keys, time, "_d", "_n")
-    rows = with_lags(rows, {}, keys, time, freq, past={"_back": ("_d", max_lag)})
-    products = rows.select(*keys, "_n", F.posexplode(F.transform("_back", lambda b: b * F.col("_d"))).alias("lag", "_p"))
-    return products.groupBy(*keys, "lag").agg(F.coalesce(F.sum("_p"), F.lit(0.0)).alias("s"), F.max("_n").alias("n"))
+    # one product column per lag, added up in one hash aggregate: no row is multiplied
+    rows = with_lags(rows, {f"_l{k}": ("_d", k) for k in range(max_lag + 1)}, keys, time, freq)
+    products = [F.coalesce(F.sum(F.col("_d") * F.col(f"_l{k}")), F.lit(0.0)) for k in range(max_lag + 1)]
+    sums = rows.groupBy(*keys).agg(F.array(*products).alias("_s"), F.max("_n").alias("n"), F.count(F.lit(1)).alias("_rows"))
+    each = sums.select(*keys, "n", "_rows", F.posexplode("_s").alias("lag", "s"))
+    return each.where("lag < _rows").select(*keys, "lag", "s", "n")
 
 
 def acf(df: DataFrame, nlags: int = 48, value: str = "value", keys: Sequence[str] = (KEY,), time: str = TIME, freq: str = "hour") -> DataFrame:
@@ -100,15 +103,18 @@ def _adf_p(stat: float) -> float:
 def adf(df: DataFrame, value: str = "value", key: str = KEY, time: str = TIME, freq: str = "hour") -> DataFrame:
     """Augmented Dickey-Fuller test with a constant; the lag order minimises AIC.
 
-    ``key, statistic, p_value, used_lag, nobs, critical_5``.  Needs a complete grid.
+    ``key, statistic, p_value, used_lag, nobs, critical_5, status``.  Needs a complete grid.
+    Every series of the input has a row: ``tested``, or nulls and ``too short`` (its
+    readings leave no freedom for a regression) or ``constant``.
     """
     lengths = df.groupBy(key).agg(F.count(as_column(value)).alias("_n"))
     ceiling = F.least(F.ceil(12.0 * F.pow(F.col("_n") / 100.0, F.lit(0.25))), F.floor(F.col("_n") / 2) - 2)
-    lengths = materialise(lengths.withColumn("_m", ceiling.cast("int")).where("_m >= 0"))
+    every = materialise(lengths.withColumn("_m", ceiling.cast("int")))
+    lengths = every.where("_m >= 0")
     reach = lengths.agg(F.max("_m")).first()[0]
-    out = f"`{key}` {df.schema[key].dataType.simpleString()}, statistic double, p_value double, used_lag int, nobs long, critical_5 double"
     if reach is None:
-        return df.sparkSession.createDataFrame([], out)
+        none = {"statistic": "double", "p_value": "double", "used_lag": "int", "nobs": "long", "critical_5": "double"}
+        return every.select(key, *[F.lit(None).cast(t).alias(c) for c, t in none.items()], F.lit("too short").alias("status"))
     rows = with_lags(df.select(key, time, as_column(value).alias("_v")), {}, [key], time, freq, past={"_y": ("_v", reach + 1)})
     rows = rows.join(lengths, key).where(F.size("_y") >= F.col("_m") + 2).select(key, F.slice("_y", 1, F.col("_m") + 2).alias("_y"))
     rows = rows.where(~F.exists("_y", lambda v: v.isNull()))
@@ -153,7 +159,10 @@ def adf(df: DataFrame, value: str = "value", key: str = KEY, time: str = TIME, f
             rows.append((stat, None if stat is None else _adf_p(stat), k - 2, n, crit))
         return pd.DataFrame(rows, columns=["statistic", "p_value", "used_lag", "nobs", "critical_5"])
 
-    return moments(again, part, wide).select(key, test("moment").alias("_t")).select(key, "_t.*")
+    tested = moments(again, part, wide).select(key, test("moment").alias("_t")).select(F.col(key).alias("_key"), "_t.*")
+    status = F.when(F.col("_key").isNull(), F.lit("too short")).when(F.col("statistic").isNull(), F.lit("constant")).otherwise(F.lit("tested"))
+    found = every.join(tested, as_column(key).eqNullSafe(F.col("_key")), "left")
+    return found.select(key, "statistic", "p_value", "used_lag", "nobs", "critical_5", status.alias("status"))
 
 
 def kpss(
