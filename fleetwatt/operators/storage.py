@@ -47,7 +47,11 @@ def scenario_unpivot(df: DataFrame, scenarios: dict[str, str] = SCENARIOS) -> Da
 def dispatch_input(
     df: DataFrame, demand: str = "Demand", price: str = "Price", time: str = TIME, keys: Sequence[str] = (KEY,)
 ) -> DataFrame:
-    """``keys, day, hour, demand, pv_low, pv_high, price_buy, price_sell`` for complete days."""
+    """``keys, day, hour, demand, pv_low, pv_high, price_buy, price_sell``, 24 hours of every day.
+
+    An hour without a row, or a signal without a value, stays as nulls; ``dispatch`` then
+    gives the day the status ``missing_input``.
+    """
     rows = with_day(tariffs(df, price), time).select(
         *keys,
         "day",
@@ -59,8 +63,11 @@ def dispatch_input(
         "price_sell",
     )
     signals = ["demand", "pv_low", "pv_high", "price_buy", "price_sell"]
-    whole = rows.na.drop(subset=signals).groupBy(*keys, "day").agg(F.count(F.lit(1)).alias("_n")).where("_n = 24")
-    return rows.join(whole.select(*keys, "day"), [*keys, "day"], "left_semi")
+    hour = F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")
+    # the empty hours join the readings before the sums, so a day costs one shuffle
+    empty = rows.select(*keys, "day").distinct().select(*keys, "day", hour, *[F.lit(None).cast("double").alias(s) for s in signals])
+    both = rows.unionByName(empty.select(*rows.columns))
+    return both.groupBy(*keys, "day", "hour").agg(*[F.max(s).alias(s) for s in signals])
 
 
 def with_capacities(df: DataFrame, capacities: Sequence[float] = (CAPACITY_KWH,)) -> DataFrame:

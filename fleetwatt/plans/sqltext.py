@@ -94,10 +94,10 @@ TABLES: dict[str, str] = {
     "M": f"""select series_id, model_name, fold, avg(abs(y_pred - y_true)) as "MAE", sqrt(avg((y_pred - y_true) ** 2)) as "RMSE",
         sqrt(avg((y_pred - y_true) ** 2)) / nullif(max(y_true) - min(y_true), 0) as "nRMSE" from P group by 1, 2, 3""",
     "S": """select series_id, day, hour, demand, price_buy, price_sell, scenario, pv from (
-        select series_id, date_trunc('day', timestamp)::timestamp as day, hour(timestamp)::int as hour, "Demand" as demand, pv * 0.3 as pv_low,
-        pv as pv_high, "Price" as price_buy, "Price" * 0.5 as price_sell, count(*) over (partition by series_id, date_trunc('day', timestamp)) as n
-        from WF) w cross join (values ('PV_low'), ('PV_high')) s(scenario), lateral (select case scenario when 'PV_low' then pv_low else pv_high end as pv) v
-        where n = 24""",
+        select d.series_id, d.day, h.hour::int as hour, "Demand" as demand, pv * 0.3 as pv_low, pv as pv_high, "Price" as price_buy, "Price" * 0.5 as price_sell
+        from (select distinct series_id, date_trunc('day', timestamp)::timestamp as day from WF) d cross join range(24) h(hour)
+        left join WF on WF.series_id = d.series_id and WF.timestamp = d.day + h.hour * interval 1 hour) w
+        cross join (values ('PV_low'), ('PV_high')) s(scenario), lateral (select case scenario when 'PV_low' then pv_low else pv_high end as pv) v""",
     "TIMER": """select *, greatest(net, 0.0) as grid_import, greatest(-net, 0.0) as grid_export from (select *, demand - pv + charge - discharge as net,
         5.0::double + 0.475::double * least(hour, 6) - 0.475::double * least(greatest(hour - 17, 0), 6) as soc, 5.0::double as soc_end, 10.0::double as capacity_kwh
         from (select *, case when hour < 6 then 0.5::double else 0 end as charge, case when hour between 17 and 22 then 0.45125::double else 0 end as discharge from S) a) b""",

@@ -104,12 +104,12 @@ def dispatch_invariants(spark, sf):
     allowed = storage.dispatch_validate(timer).where(F.greatest(*gaps) < 1e-9).select(*storage.PROBLEM)
     timed = storage.dispatch_kpis(timer).join(allowed, storage.PROBLEM, "left_semi")
     timed = timed.select(*storage.PROBLEM, F.col("total_cost").alias("_timer"))
-    costs = schedule.where("hour = 0").select(*storage.PROBLEM, "cost")
+    costs = schedule.where("hour = 0").select(*storage.PROBLEM, "cost", F.when(F.col("status") != "missing_input", True).alias("_known"))
     table = checked.join(costs, storage.PROBLEM).join(timed, storage.PROBLEM, "left")
     return table.groupBy(KEY, "scenario").agg(
         F.count(F.lit(1)).alias("problems"),
         F.count_if(F.col("_gap") > 1e-6).alias("violations"),
-        F.count_if(F.col("_timer").isNotNull() & (F.col("cost").isNull() | (F.col("cost") > F.col("_timer") + 1e-9))).alias("worse_than_timer"),
+        F.count_if(F.col("_known") & F.col("_timer").isNotNull() & (F.col("cost").isNull() | (F.col("cost") > F.col("_timer") + 1e-9))).alias("worse_than_timer"),
     )
 
 
