@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from fleetwatt.session import ensure_checkpoint_dir
 
 AR_FEATURES = [f"demand_lag_{k}" for k in LAGS]
 TIME_FEATURES = ["hour_sin", "hour_cos", "is_weekend"]
+ROWS_PER_TASK = 50_000
 
 
 def fit_gbt(
@@ -35,9 +37,12 @@ def fit_gbt(
     """Squared-error boosting on ``label`` and ``features``.
 
     ``validation`` names a boolean column whose rows stop the boosting early.  Long
-    boosting runs cut their lineage in the checkpoint folder of the session.
+    boosting runs cut their lineage in the checkpoint folder of the session.  Each level
+    of each tree is a job over the cached rows, so they are held in partitions of
+    ``ROWS_PER_TASK`` rows: a small table then costs no more than one short task a level.
     """
     ensure_checkpoint_dir(rows.sparkSession)
+    rows = rows.repartition(max(1, math.ceil(rows.count() / ROWS_PER_TASK))).persist(StorageLevel.MEMORY_AND_DISK)
     gbt = GBTRegressor(
         maxIter=trees,
         stepSize=rate,
@@ -48,7 +53,10 @@ def fit_gbt(
         checkpointInterval=10,
         cacheNodeIds=True,
     )
-    return (gbt.setValidationIndicatorCol(validation) if validation else gbt).fit(rows)
+    try:
+        return (gbt.setValidationIndicatorCol(validation) if validation else gbt).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def predict(model: GBTRegressionModel, rows: DataFrame, name: str, keys: Sequence[str] = (KEY,), time: str = TIME) -> DataFrame:
@@ -118,7 +126,9 @@ def recursive_forecast(
 
     The last hours of a series become one row with an array (newest first); each step
     predicts from it and puts its result in front.  All steps form one narrow stage over
-    the fleet: no job, shuffle or checkpoint per hour.
+    the fleet: no job, shuffle or checkpoint per hour.  A series with an unknown hour
+    among those the lags reach, or with fewer hours, keeps its rows with a null forecast
+    and the status ``missing_history``; the others have ``forecast``.
     """
     depth = max(lags)
     recent = newest(history.select(*keys, time, as_column(target).cast("double").alias("_v")), depth, keys, time)
@@ -130,6 +140,7 @@ def recursive_forecast(
         F.max(time).alias("_last"),
         F.count("_v").alias("_known"),
     )
+    short = state.where(F.col("_known") < depth).select(*keys, "_last")
     state = state.where(F.col("_known") == depth).drop("_known")
     for step in range(1, horizon + 1):
         at = later("_last", step * 3600)
@@ -140,6 +151,10 @@ def recursive_forecast(
         ahead = F.array(F.greatest(F.col("prediction"), F.lit(0.0)))
         state = state.select(*keys, "_last", F.concat(ahead, F.slice("_back", 1, depth + horizon)).alias("_back"))
     steps = F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda i: F.struct(i.alias("step"), F.element_at("_back", horizon + 1 - i).alias("y_pred")))
-    return state.select(*keys, "_last", F.explode(steps).alias("_s")).select(
-        *keys, (F.col("_last") + F.make_dt_interval(hours=F.col("_s.step"))).cast("timestamp_ntz").alias(time), F.col("_s.step").alias("step"), F.col("_s.y_pred").alias("y_pred")
+    done = state.select(*keys, "_last", F.explode(steps).alias("_s")).select(
+        *keys, "_last", F.col("_s.step").alias("step"), F.col("_s.y_pred").alias("y_pred"), F.lit("forecast").alias("status")
     )
+    none = [F.lit(None).cast("double").alias("y_pred"), F.lit("missing_history").alias("status")]
+    rest = short.select(*keys, "_last", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"), *none)
+    at = (F.col("_last") + F.make_dt_interval(hours=F.col("step"))).cast("timestamp_ntz")
+    return done.unionByName(rest).select(*keys, at.alias(time), "step", "y_pred", "status")

@@ -188,7 +188,7 @@ def mutual_information(spark, sf):
 @query("permutation_importance")
 def permutation_importance(spark, sf):
     rows = materialise(fx.wide_filled(spark, sf).withColumn("hour", F.hour(TIME)))
-    return stats.permutation_importance(rows, "Demand", _FEATURES, [KEY, TIME], trees=20, depth=5)
+    return stats.permutation_importance(rows, "Demand", _FEATURES, [KEY, TIME])
 
 
 @query(
