@@ -13,7 +13,7 @@ from fleetwatt import KEY, TIME
 from fleetwatt.functions.clock import as_column, is_weekend, weekday
 from fleetwatt.functions.quantiles import exact_quantiles
 from fleetwatt.operators.coerce import columns_starting
-from fleetwatt.operators.features import show_date_range, show_number
+from fleetwatt.operators.features import show_date_range
 from fleetwatt.operators.missing import stack_row
 
 # Calendar names in calendar order.
@@ -285,60 +285,84 @@ def model_columns(df: DataFrame, reserved: Sequence[str] = (TIME, KEY, "Actual")
     return [c for c in df.columns if c not in reserved]
 
 
+def _fact(priority: int, kind: str, subject: Column, value: Column, unit: str | None) -> Column:
+    return F.struct(
+        F.lit(priority).alias("priority"),
+        F.lit(kind).alias("kind"),
+        subject.cast("string").alias("subject"),
+        value.cast("double").alias("value"),
+        F.lit(unit).cast("string").alias("unit"),
+    )
+
+
 def insights(facts: Sequence[DataFrame], limit: int = 6) -> DataFrame:
-    """Facts (``priority, text``) merged: each text once, by first appearance."""
+    """Facts (``priority, kind, subject, value, unit``) in order, each kind and subject once.
+
+    Facts without a value and a subject are left out; if none is left there is one row of
+    kind ``none``.  Wording is the caller's.
+    """
     merged = facts[0]
     for f in facts[1:]:
         merged = merged.unionByName(f)
-    once = merged.where(F.col("text").isNotNull()).groupBy("text").agg(F.min("priority").alias("priority"))
-    return once.orderBy("priority", "text").limit(limit).select("priority", "text")
-
-
-def demand_facts(df: DataFrame, demand: str = "Demand", pv: str = "pv", time: str = TIME, start: int = 1) -> DataFrame:
-    """The sentences that the cleaned data itself supports."""
-    k = energy_kpis(df, demand, pv, time)
-    texts = [
-        F.concat(F.lit("Peak demand occurs around "), F.format_string("%02d:00", "peak_hour"), F.lit(".")),
-        F.concat(F.lit("Mean hourly demand is approximately "), show_number("mean_demand", 2, " kWh"), F.lit(".")),
-        F.concat(F.lit("PV covers about "), show_number("pv_share_pct", 2, percent=True), F.lit(" of the demand.")),
-        F.when(
-            F.col("midday_pv_share_pct") != 0,
-            F.concat(F.lit("Midday PV covers roughly "), show_number("midday_pv_share_pct", 1, percent=True), F.lit(" of demand.")),
-        ),
-        F.concat(F.col("top_weekday_name"), F.lit(" shows the highest average demand.")),
-    ]
-    entries = [F.struct(F.lit(start + i).alias("priority"), t.alias("text")) for i, t in enumerate(texts)]
-    return k.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    known = merged.where("value IS NOT NULL OR subject IS NOT NULL")
+    once = known.groupBy("kind", "subject").agg(F.min(F.struct("priority", "value", "unit")).alias("_f"))
+    rows = once.select("_f.priority", "kind", "subject", "_f.value", "_f.unit")
+    none = rows.agg(F.count(F.lit(1)).alias("_n")).where("_n = 0")
+    none = none.select(F.inline(F.array(_fact(0, "none", F.lit(None), F.lit(None), None))))
+    return rows.unionByName(none).orderBy("priority", "kind", "subject").limit(limit)
+
+
+def improvement_fact(improvements: DataFrame, priority: int = 1) -> DataFrame:
+    """The largest gain of a variant over its base, if there is any."""
+    best = F.max("nrmse_improvement_pct")
+    return improvements.agg(F.when(best > 0, best).alias("_g")).select(
+        F.inline(F.array(_fact(priority, "forecast_gain", F.lit(None), F.col("_g"), "%")))
+    )
 
 
-def correlation_fact(ranked: DataFrame, priority: int) -> DataFrame:
-    best = F.max_by("feature", "correlation")
-    text = F.concat(best, F.lit(" shows the strongest correlation with demand ("), show_number(F.max("correlation"), 2), F.lit(")."))
-    return ranked.agg(F.lit(priority).alias("priority"), text.alias("text"))
+def cost_fact(costs: DataFrame, scenario: str, priority: int = 2) -> DataFrame:
+    """Cost of one storage scenario; a profit is negative."""
+    total = costs.agg(F.max(F.when(F.col("scenario") == scenario, F.col("total_cost"))).alias("_c"))
+    subject = F.when(F.col("_c").isNotNull(), F.lit(scenario))
+    return total.select(F.inline(F.array(_fact(priority, "scenario_cost", subject, F.col("_c"), "€"))))
+
+
+def demand_facts(df: DataFrame, demand: str = "Demand", pv: str = "pv", time: str = TIME, start: int = 3) -> DataFrame:
+    """What the cleaned data itself shows; room is left for a correlation between its facts."""
+    cells = sum((as_column(c).isNull().cast("int") for c in df.columns), F.lit(0))
+    missing = df.agg((F.sum(cells) / (F.count(F.lit(1)) * len(df.columns)) * 100).alias("_missing"))
+    # one row on both sides
+    k = energy_kpis(df, demand, pv, time).join(F.broadcast(missing))
+    midday = F.when(F.col("midday_pv_share_pct") != 0, F.col("midday_pv_share_pct"))
+    none = F.lit(None)
+    facts = [
+        _fact(start, "peak_hour", none, F.col("peak_hour"), "hour"),
+        _fact(start + 1, "mean_demand", none, F.col("mean_demand"), "kWh"),
+        _fact(start + 2, "pv_share", none, F.col("pv_share_pct"), "%"),
+        _fact(start + 3, "missing", none, F.col("_missing"), "%"),
+        _fact(start + 5, "midday_pv_share", none, midday, "%"),
+        _fact(start + 6, "top_weekday", F.col("top_weekday_name"), none, None),
+    ]
+    return k.select(F.inline(F.array(*facts)))
 
 
-def cost_fact(costs: DataFrame, scenario: str, priority: int) -> DataFrame:
-    """Profit or cost of one storage scenario."""
-    c = F.max(F.when(F.col("scenario") == scenario, F.col("total_cost")))
-    text = F.when(
-        c < 0, F.concat(F.lit(f"{scenario} scenario achieves €"), show_number(-c, 2), F.lit(" profit through exports."))
-    ).otherwise(F.concat(F.lit(f"{scenario} scenario costs €"), show_number(c, 2), F.lit(" for 24h operation.")))
-    return costs.agg(F.lit(priority).alias("priority"), F.when(c.isNotNull(), text).alias("text"))
+def correlation_fact(ranked: DataFrame, priority: int = 7) -> DataFrame:
+    best = ranked.agg(F.max_by("feature", "correlation").alias("_f"), F.max("correlation").alias("_c"))
+    return best.select(F.inline(F.array(_fact(priority, "top_correlation", F.col("_f"), F.col("_c"), None))))
 
 
-def improvement_fact(best_improvement: DataFrame, priority: int) -> DataFrame:
-    c = F.max("nrmse_improvement_pct")
-    text = F.when(c > 0, F.concat(F.lit("Exogenous features improve forecast by up to "), show_number(c, 1, percent=True), F.lit(" nRMSE.")))
-    return best_improvement.agg(F.lit(priority).alias("priority"), text.alias("text"))
+# The published coefficients of Acklam's inverse normal.
+INVERSE_NORMAL = (
+    (-3.969683028665376e01, 2.209460984245205e02, -2.759285104469687e02, 1.383577518672690e02, -3.066479806614716e01, 2.506628277459239e00),
+    (-5.447609879822406e01, 1.615858368580409e02, -1.556989798598866e02, 6.680131188771972e01, -1.328068155288572e01),
+    (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e00, -2.549732539343734e00, 4.374664141464968e00, 2.938163982698783e00),
+    (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e00, 3.754408661907416e00),
+)
 
 
 def normal_quantile(p: Column) -> Column:
     """Inverse normal by Acklam's rational approximation, |relative error| < 1.2e-9."""
-    # The published coefficients.
-    a = (-3.969683028665376e01, 2.209460984245205e02, -2.759285104469687e02, 1.383577518672690e02, -3.066479806614716e01, 2.506628277459239e00)
-    b = (-5.447609879822406e01, 1.615858368580409e02, -1.556989798598866e02, 6.680131188771972e01, -1.328068155288572e01)
-    c = (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e00, -2.549732539343734e00, 4.374664141464968e00, 2.938163982698783e00)
-    d = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e00, 3.754408661907416e00)
+    a, b, c, d = INVERSE_NORMAL
 
     def poly(coef: Sequence[float], x: Column) -> Column:
         out = F.lit(coef[0])
@@ -387,7 +411,7 @@ def qq_points(df: DataFrame, value: str, step: int = 100_000) -> DataFrame:
     # copies of one value are spread in runs of `step` before they are listed
     first, last = F.col("before") + 1, F.col("before") + F.col("copies")
     runs = ranks.withColumn("_from", F.explode(F.sequence(first, last, F.lit(step).cast("long"))))
-    runs = runs.withColumn("_to", F.least(F.col("_from") + (step - 1), last))
+    runs = runs.withColumn("_to", F.least(F.col("_from") + (step - 1), last)).repartition("_from")
     points = runs.withColumn("rank", F.explode(F.sequence("_from", "_to")))
     n, i = F.col("total").cast("double"), F.col("rank").cast("double")
     end = F.pow(F.lit(0.5), 1 / n)

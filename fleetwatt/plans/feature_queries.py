@@ -333,12 +333,42 @@ def qq_ranks(spark, sf):
     return profile.qq_points(fx.events(spark, sf), "value").select("rank", "ordered")
 
 
-@query("qq_points")
+def _poly(coefficients, x: str) -> str:
+    out = repr(coefficients[0])
+    for k in coefficients[1:]:
+        out = f"({out} * {x} + {k!r}::double)"
+    return out
+
+
+def _inverse_normal(p: str) -> str:
+    a, b, c, d = profile.INVERSE_NORMAL
+    tail = lambda q: f"{_poly(c, q)} / ({_poly(d, q)} * {q} + 1)"
+    low, high, mid = f"sqrt(-2 * ln({p}))", f"sqrt(-2 * ln(1 - {p}))", f"({p} - 0.5::double)"
+    return f"""case when {p} < 0.02425 then {tail(low)} when {p} > 1 - 0.02425::double then -({tail(high)})
+        else {_poly(a, f'({mid} * {mid})')} * {mid} / ({_poly(b, f'({mid} * {mid})')} * ({mid} * {mid}) + 1) end"""
+
+
+_QQ = {
+    "MEDIANS": """select i, value, case when i = 1 then 1 - pow(0.5::double, 1 / n::double) when i = n then pow(0.5::double, 1 / n::double)
+        else (i - 0.3175::double) / (n + 0.365::double) end as p from (
+        select row_number() over (order by value) as i, count(*) over () as n, value::double as value from events where value is not null) x""",
+    "QQ": f"select i as rank, {_inverse_normal('p')} as theoretical, value as ordered from MEDIANS",
+}
+
+
+@query("qq_points", sql(f"select rank, {r('theoretical')} as theoretical, {r('ordered')} as ordered from QQ", **_QQ))
 def qq_points(spark, sf):
     return profile.qq_points(fx.events(spark, sf), "value")
 
 
-@query("qq_line")
+@query(
+    "qq_line",
+    sql(
+        f"""select {r('regr_slope(ordered, theoretical)')} as slope, {r('regr_intercept(ordered, theoretical)')} as intercept,
+        {r('corr(ordered, theoretical)')} as r, count(*) as points from QQ""",
+        **_QQ,
+    ),
+)
 def qq_line(spark, sf):
     return profile.qq_line(profile.qq_points(fx.events(spark, sf), "value"))
 
@@ -413,27 +443,33 @@ def distinct_models(spark, sf):
 @query(
     "insights",
     sql(
-        """select priority, text from (select text, min(priority)::int as priority from (
-        select 1 as priority, case when c < 0 then 'PV_high scenario achieves €' || printf('%.2f', -c) || ' profit through exports.' else 'PV_high scenario costs €' || printf('%.2f', c) || ' for 24h operation.' end as text
-          from (select sum(total_cost) as c from COSTS where scenario = 'PV_high') x where c is not null
-        union all select 2, 'Peak demand occurs around ' || printf('%02d:00', peak_hour::int) || '.' from KPIS
-        union all select 3, 'Mean hourly demand is approximately ' || printf('%.2f', mean_demand) || ' kWh.' from KPIS
-        union all select 4, 'PV covers about ' || printf('%.2f', pv_share_pct) || '% of the demand.' from KPIS
-        union all select 5, 'Midday PV covers roughly ' || printf('%.1f', midday_pv_share_pct) || '% of demand.' from KPIS where midday_pv_share_pct <> 0
-        union all select 6, top_weekday_name || ' shows the highest average demand.' from KPIS
-        union all select 7, feature || ' shows the strongest correlation with demand (' || printf('%.2f', c) || ').' from (
+        f"""select priority::int as priority, kind, subject, {r('value')} as value, unit from (
+        select 1 as priority, 'forecast_gain' as kind, null::varchar as subject, gain as value, '%' as unit from (
+          select max((a."nRMSE" - b."nRMSE") / nullif(a."nRMSE", 0) * 100) as gain from M a join M b on b.series_id = a.series_id and b.fold = a.fold
+          where a.model_name = 'naive_24h' and b.model_name = 'naive_7d') x where gain > 0
+        union all select 2, 'scenario_cost', 'PV_high', c, '€' from (select sum(total_cost) as c from COSTS where scenario = 'PV_high') x where c is not null
+        union all select 3, 'peak_hour', null, peak_hour, 'hour' from KPIS
+        union all select 4, 'mean_demand', null, mean_demand, 'kWh' from KPIS
+        union all select 5, 'pv_share', null, pv_share_pct, '%' from KPIS
+        union all select 6, 'missing', null, ({' + '.join(f'count(*) filter ({c} is null)' for c in ('series_id', 'timestamp', '"Demand"', 'pv', 'pv_mod1', '"Price"', '"Temperature"', 'radiation'))}
+          ) * 100.0::double / (count(*) * 8), '%' from W
+        union all select 7, 'top_correlation', feature, c, null from (
           select feature, c from (select 'pv' as feature, corr(pv, "Demand") as c from W union all select 'Temperature', corr("Temperature", "Demand") from W) y order by c desc limit 1) z
-        ) f group by 1) g order by priority, text limit 6""",
+        union all select 8, 'midday_pv_share', null, midday_pv_share_pct, '%' from KPIS where midday_pv_share_pct <> 0
+        union all select 9, 'top_weekday', top_weekday_name, null, null from KPIS) f where value is not null or subject is not null""",
         **_KPIS,
         **_OVERVIEW,
     ),
 )
 def insights(spark, sf):
+    """All nine kinds of fact."""
     meter = fx.wide(spark, sf)
     costs = storage.dispatch_kpis(fx.timer_schedule(spark, sf), ["scenario"])
+    scored = metrics.forecast_metrics(fx.predicted(spark, sf), [KEY, "model_name", "fold"])
     facts = [
-        profile.cost_fact(costs, "PV_high", 1),
-        profile.demand_facts(meter, start=2),
-        profile.correlation_fact(profile.corr_target(meter, "Demand", ["pv", "Temperature"]), 7),
+        profile.improvement_fact(metrics.improvement_pct(scored, "naive_24h", "naive_7d", [KEY, "fold"])),
+        profile.cost_fact(costs, "PV_high"),
+        profile.demand_facts(meter),
+        profile.correlation_fact(profile.corr_target(meter, "Demand", ["pv", "Temperature"])),
     ]
-    return profile.insights(facts, 6)
+    return profile.insights(facts, limit=9)
