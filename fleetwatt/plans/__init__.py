@@ -9,6 +9,7 @@ def load_all() -> ModuleType:
     """The registry with every query module imported."""
     from fleetwatt.plans import registry
     from fleetwatt.plans import (  # noqa: F401
+        check_queries,
         data_queries,
         feature_queries,
         forecast_queries,

@@ -224,7 +224,7 @@ def null_rows(spark, sf):
     return coerce.null_rows(fx.wide(spark, sf), "pv_mod1").select(KEY, TIME)
 
 
-_RAW = f"""select series_id, timestamp, "Demand" - 0.2 as "Demand", pv - 0.1 as pv, pv_mod1, "Price" from W where hour(timestamp) <> 3"""
+_RAW = f"""select series_id, timestamp, "Demand" - 0.2 as "Demand", pv - 0.1 as pv, pv_mod1, "Price" from W"""
 _CLEAN = {
     "RAW": _RAW,
     "STEP1": interp("RAW", ["pv", "pv_mod1"], limit=4, keep=['"Demand"', '"Price"']),
@@ -233,9 +233,8 @@ _CLEAN = {
 
 
 def _raw_meter(spark: SparkSession, sf: str) -> DataFrame:
-    """The wide table as text-and-number input with absent hours and negative readings."""
-    rows = fx.wide(spark, sf).where(F.hour(TIME) != 3)
-    rows = rows.select(
+    """The wide table as text-and-number input with negative readings."""
+    rows = fx.wide(spark, sf).select(
         KEY,
         F.col(TIME).cast("string").alias(TIME),
         (F.col("Demand") - 0.2).cast("string").alias("Demand"),
@@ -268,6 +267,7 @@ _LOG_ROWS.append(
 for _c, _q in [("pv", "pv"), ("pv_mod1", "pv_mod1"), ("Demand", '"Demand"')]:
     _LOG_ROWS.append(("clipped negatives", _c, f"(select count(*) from STEP2 where {_q} < 0)"))
     _LOG_ROWS.append(("missing before", _c, f"(select count(*) from RAW where {_q} is null)"))
+_LOG_ROWS.append(("rows without a series", "series_id", "0"))
 _LOG_ROWS.append(("dropped rows with long demand gaps", "*", '(select count(*) from STEP2 where "Demand" is null)'))
 
 

@@ -75,12 +75,10 @@ def interp_limit4(spark, sf):
 
 @query(
     "interp_pos",
-    sql("select series_id, timestamp, " + ", ".join(f"{r(c)} as {c}" for c in WIDE_COLS) + " from F1", F1=interp("WG", WIDE_COLS, by="position"),
-        WG="select * from W where hour(timestamp) <> 3"),
+    sql("select series_id, timestamp, " + ", ".join(f"{r(c)} as {c}" for c in WIDE_COLS) + " from F1", F1=interp("W", WIDE_COLS, by="position")),
 )
 def interp_pos(spark, sf):
-    rows = fx.wide(spark, sf).where(F.hour(TIME) != 3)
-    return impute.interpolate(rows, fx.WIDE, by="position").select(*W_NAMES)
+    return impute.interpolate(fx.wide(spark, sf), fx.WIDE, by="position").select(*W_NAMES)
 
 
 @query(
