@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
+import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders that this process wrote and nobody has removed yet, and applications that have the package.
+_WRITTEN: list[tuple[SparkSession, str]] = []
+_SHIPPED: set[str] = set()
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Set the runtime options every job here assumes.
@@ -21,9 +30,27 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10000")
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="fleetwatt-"), "fleetwatt.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(home):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(home)))
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
 def local_session(cores: str = "8", partitions: str = "8", name: str = "fleetwatt") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     spark = (
@@ -34,6 +61,7 @@ def local_session(cores: str = "8", partitions: str = "8", name: str = "fleetwat
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -63,8 +91,40 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """Compute a table once that several branches read.
 
     It is written to the shared folder, so losing an executor loses nothing, and read
-    back as parquet, so later plans prune columns and know its size.
+    back as parquet, so later plans prune columns and know its size.  It is removed at the
+    end of the ``scratch`` block around it, or else when the process ends.
     """
     path = shared_path(df.sparkSession, name)
+    _WRITTEN.append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def _remove(tables: list[tuple[SparkSession, str]]) -> None:
+    for spark, path in tables:
+        if spark.sparkContext._jsc is not None:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Intermediate tables written inside the block are removed at its end.
+
+    Results must be collected or written before that.
+    """
+    begun = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        mine, _WRITTEN[begun:] = _WRITTEN[begun:], []
+        _remove(mine)
+
+
+@atexit.register
+def _remove_all() -> None:
+    tables, _WRITTEN[:] = list(_WRITTEN), []
+    try:
+        _remove(tables)
+    except Exception:  # the session has ended before; its folder is the cluster's to clear
+        return

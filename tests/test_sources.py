@@ -54,3 +54,32 @@ def test_scan_reads_only_the_wanted_columns(spark, tmp_path):
     df = readers.scan_parquet_safe(spark, path, schemas.SERIES, ["value"]).where("value > 3")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<value:double>" in plan and "PushedFilters: [IsNotNull(value), GreaterThan(value,3.0)]" in plan
+
+
+def test_intermediate_tables_go_with_their_block(spark):
+    import glob
+
+    from fleetwatt.session import materialise, scratch
+
+    with scratch():
+        table = materialise(spark.range(5), "short-lived")
+        assert table.count() == 5
+        (where,) = table.inputFiles()[:1] or [""]
+        folder = where.removeprefix("file://").rsplit("/", 1)[0]
+        assert glob.glob(folder)
+    assert not glob.glob(folder)
+
+
+def test_the_package_reaches_workers(spark):
+    """Also if the driver found it by a path that workers do not have."""
+    found = spark.range(1).mapInPandas(_where, "path string").first()[0]
+    assert "fleetwatt" in found
+
+
+def _where(batches):
+    import pandas as pd
+
+    import fleetwatt
+
+    for _ in batches:
+        yield pd.DataFrame({"path": [fleetwatt.__file__]})
