@@ -72,14 +72,13 @@ def test_intermediate_tables_go_with_their_block(spark):
 
 def test_the_package_reaches_workers(spark):
     """Also if the driver found it by a path that workers do not have."""
-    found = spark.range(1).mapInPandas(_where, "path string").first()[0]
-    assert "fleetwatt" in found
 
+    def where(batches):
+        import pandas as pd
 
-def _where(batches):
-    import pandas as pd
+        import fleetwatt
 
-    import fleetwatt
+        for _ in batches:
+            yield pd.DataFrame({"path": [fleetwatt.__file__]})
 
-    for _ in batches:
-        yield pd.DataFrame({"path": [fleetwatt.__file__]})
+    assert "fleetwatt" in spark.range(1).mapInPandas(where, "path string").first()[0]
