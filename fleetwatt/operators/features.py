@@ -167,10 +167,17 @@ def yeo_johnson(c: str | Column, lam: float | Column) -> Column:
     return F.when(x >= 0, positive).when(x < 0, negative)
 
 
-def yeo_johnson_scores(df: DataFrame, cols: Sequence[str], grid: Sequence[float]) -> DataFrame:
-    """``variable, lambda, score``: the profile log-likelihood on a lambda grid, one pass."""
+def yeo_johnson_scores(df: DataFrame, cols: Sequence[str], grid: Sequence[float] | dict[str, Sequence[float]]) -> DataFrame:
+    """``variable, lambda, score``: the profile log-likelihood on a lambda grid, one pass.
+
+    ``grid`` may give each column its own points.
+    """
+    grids = grid if isinstance(grid, dict) else dict.fromkeys(cols, grid)
+    points = F.lit(None).cast("array<double>")
+    for c, values in grids.items():
+        points = F.when(F.col("variable") == c, F.array(*[F.lit(float(g)) for g in values])).otherwise(points)
     long = df.unpivot([], list(cols), "variable", "_x").where("_x IS NOT NULL")
-    tried = long.withColumn("lambda", F.explode(F.array(*[F.lit(float(g)) for g in grid])))
+    tried = long.withColumn("lambda", F.explode(points))
     tried = tried.withColumn("_y", yeo_johnson("_x", F.col("lambda")))
     jacobian = F.signum("_x") * F.log1p(F.abs("_x"))
     return tried.groupBy("variable", "lambda").agg(
@@ -179,16 +186,20 @@ def yeo_johnson_scores(df: DataFrame, cols: Sequence[str], grid: Sequence[float]
 
 
 def yeo_johnson_lambda(df: DataFrame, cols: Sequence[str], lo: float = -3.0, hi: float = 3.0, steps: int = 25, passes: int = 3) -> dict[str, float]:
-    """The likeliest lambda per column: a coarse grid, then finer ones around its best point."""
+    """The likeliest lambda per column: a coarse grid, then finer ones around its best point.
+
+    All columns are scored in the same pass; ``steps`` numbers a column come back.  A column
+    without values has no entry.
+    """
     best: dict[str, float] = {}
-    for c in cols:
-        a, b = lo, hi
-        for _ in range(passes):
-            grid = [a + (b - a) * i / (steps - 1) for i in range(steps)]
-            row = yeo_johnson_scores(df, [c], grid).orderBy(F.col("score").desc()).first()
-            if row is None:
-                break
-            best[c] = row["lambda"]
-            width = (b - a) / (steps - 1)
-            a, b = best[c] - width, best[c] + width
+    spans = dict.fromkeys(cols, (lo, hi))
+    for _ in range(passes):
+        grids = {c: [a + (b - a) * i / (steps - 1) for i in range(steps)] for c, (a, b) in spans.items()}
+        scored = yeo_johnson_scores(df, cols, grids).groupBy("variable").agg(F.max_by("lambda", "score").alias("lambda"))
+        best = {r["variable"]: r["lambda"] for r in scored.collect() if r["lambda"] is not None}
+        width = {c: (b - a) / (steps - 1) for c, (a, b) in spans.items()}
+        spans = {c: (v - width[c], v + width[c]) for c, v in best.items()}
+        cols = list(spans)
+        if not cols:
+            break
     return best

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fleetwatt import KEY, TIME
-from fleetwatt.operators import arima, clean, coerce, decompose, folds, stats, storage, trees
+from fleetwatt.operators import arima, clean, coerce, decompose, features, folds, stats, storage, trees
 from fleetwatt.plans import fixtures as fx
 from fleetwatt.plans.forecast_queries import _gbt
 from fleetwatt.plans.registry import query
@@ -167,3 +167,36 @@ def fold_leakage(spark, sf):
     return first.join(second, [KEY, "fold", TIME], "left").groupBy(KEY).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("y_pred").eqNullSafe(F.col("_again"))).alias("moved")
     )
+
+
+@query(
+    "yeo_johnson_fitted",
+    sql(
+        """select variable, count(x) as values, true as likeliest, 0::bigint as out_of_order from (
+        select 'Demand' as variable, "Demand" as x from W union all select 'Temperature', "Temperature" from W) a group by 1"""
+    ),
+)
+def yeo_johnson_fitted(spark, sf):
+    """The fitted lambda is likelier than its neighbours and than no transform; the transform keeps the order of the values."""
+    rows = materialise(fx.wide(spark, sf).select("Demand", "Temperature"))
+    cols = ["Demand", "Temperature"]
+    best = features.yeo_johnson_lambda(rows, cols)
+    near = {c: [v, v - 0.05, v + 0.05, 1.0] for c, v in best.items()}
+    fitted = F.lit(None).cast("double")
+    for c, v in best.items():
+        fitted = F.when(F.col("variable") == c, F.lit(float(v))).otherwise(fitted)
+    scored = features.yeo_johnson_scores(rows, cols, near).withColumn("_fitted", F.col("lambda") == fitted)
+    top = scored.groupBy("variable").agg(
+        (F.max(F.when(F.col("_fitted"), F.col("score"))) >= F.max("score") - 1e-6).alias("likeliest")
+    )
+    long = rows.unpivot([], cols, "variable", "x").where("x IS NOT NULL").withColumn("_y", features.yeo_johnson("x", fitted))
+    same = long.groupBy("variable", "x").agg(F.count(F.lit(1)).alias("_n"), F.max("_y").alias("_y"))
+    cell = F.floor(F.col("x") / 5.0)  # ordered within cells of the value and from cell to cell
+    edges = same.groupBy("variable", cell.alias("_cell")).agg(
+        F.sum("_n").alias("_n"), F.min("_y").alias("_low"), F.max("_y").alias("_high"), F.corr("x", "_y").alias("_r")
+    )
+    after = edges.select("variable", (F.col("_cell") + 1).alias("_cell"), F.col("_high").alias("_before"))
+    joined = edges.join(after, ["variable", "_cell"], "left")
+    return joined.join(top, "variable").groupBy("variable", "likeliest").agg(
+        F.sum("_n").alias("values"), F.count_if((F.col("_before") >= F.col("_low")) | (F.col("_r") < 0)).alias("out_of_order")
+    )
