@@ -1,29 +1,37 @@
 """Line dedup by a deletion-neighbourhood join.
 
 A line is its words, lower-cased (A-Z).  Two lines are near if one word substituted,
-inserted or deleted turns one into the other.  Each candidate line emits itself and every
-variant with one word deleted as 128-bit keys.  Lines with equal keys are then compared
-by what they deleted: the same position, or nothing on one side, is one edit.  Only the
-earliest line of a key and position matters, so equal keys meet in minimums that add up
-before the shuffle, not in pairs, and the texts of a line and the one it would repeat are
-compared word by word before it goes.
+inserted or deleted turns one into the other.  Each candidate line emits itself and its
+variants with one word deleted as hashed keys.  Lines with equal keys are compared by
+what they deleted: the same position, or nothing on one side, is one edit.  Only the
+earliest line of a key and position matters, so equal keys meet in minimums, not in
+pairs; then the texts of a line and the one it would repeat are compared word by word.
 
 Candidates are lines that can have a near line at all: one edit leaves one half of the
 longer line whole, so only lines that share a half (the first or the last words, for
-their own length or one more) with another line emit variants.
+their own length or one more) with another line emit variants, and only with deletions in
+the half that is not shared.
+
+Documents are dealt into blocks of consecutive ids.  A block sends each distinct line,
+half or variant once, packed, to parts chosen by bits that the 64-bit keys lack; parts
+answer every block in the order it asked.  Blocks and lines are ordered, so the first in
+line is the earliest.
 """
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatt.llm.common import column, id_back, id_key, settled, text_bytes
+from fleetwatt.llm.common import column, dealt, id_back
 
 #: Shorter lines are left alone: headings and list items repeat by nature.
 MIN_WORDS = 3
@@ -31,90 +39,40 @@ MIN_WORDS = 3
 NEAR_WORDS = 8
 
 _BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_LOW = 2**64 - 1
+_MESSAGE = "_part int, _block int, _a binary, _b binary, _c binary, _d binary"
 
 
-def _words(line: bytes) -> list[bytes]:
-    return line.lower().split()
-
+def _key(data: bytes) -> tuple[int, int]:
+    """A 64-bit key and 64 more bits for the part."""
+    h = xxhash.xxh3_128_intdigest(data)
+    return h & _LOW, h >> 64
 
-def _signed(h: int) -> int:
-    return h - (h >> 63 << 64)
 
-
-def _halves(words: list[bytes]) -> list[int]:
-    """Keys of the halves a line shares with each line one edit away."""
+def halves(words: list[bytes]) -> list[bytes]:
+    """What a line shares with lines one edit away: first and last words, for its own length and for one more."""
     n, out = len(words), []
     for longer in (n, n + 1):
         first = (longer - 1) // 2
-        out.append(_signed(xxhash.xxh64_intdigest(b"%d<" % longer + b" ".join(words[:first]))))
-        out.append(_signed(xxhash.xxh64_intdigest(b"%d>" % longer + b" ".join(words[n - (longer - 1 - first) :]))))
+        out.append(b"%d<" % longer + b" ".join(words[:first]))
+        out.append(b"%d>" % longer + b" ".join(words[n - (longer - 1 - first) :]))
     return out
 
 
-def _rows(min_words: int, near_words: int):
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at, no, n, key, halves = [], [], [], [], []
-            for row, text in enumerate(b.column(2).to_pylist()):
-                for i, line in enumerate(text.split(b"\n")):
-                    words = _words(line)
-                    if len(words) >= min_words:
-                        at.append(row)
-                        no.append(i)
-                        n.append(len(words))
-                        key.append(xxhash.xxh3_128_digest(b" ".join(words)))
-                        halves.append(_halves(words) if len(words) >= near_words else [])
-            keys = np.frombuffer(b"".join(key), np.int64).reshape(-1, 2)
-            at = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b.column(0).take(at), b.column(1).take(at), pa.array(no, pa.int32()), pa.array(n, pa.int32()),
-                    pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(halves, pa.list_(pa.int64())),
-                ],
-                names=["_id", "_text", "_no", "_n", "_k1", "_k2", "_halves"],
-            )
-
-    return read
-
-
 def variants(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit keys, row 0 of the whole line and row i + 1 without word i, in linear time."""
+    """Two 64-bit keys, row 0 of the whole line and row i + 1 without word i, in linear time."""
     n = len(words)
     out = []
     for seed, base in enumerate(_BASE):
         h = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, n)
         up = np.full(n, base, np.uint64)
         up[0] = 1
-        term = h * np.cumprod(up)
-        total = np.concatenate([[np.uint64(0)], np.cumsum(term)])
+        total = np.concatenate([[np.uint64(0)], np.cumsum(h * np.cumprod(up))])
         shorter = total[:-1] + (total[-1] - total[1:]) * np.uint64(pow(base, -1, 2**64))
-        out.append(np.concatenate([total[-1:], shorter]).view(np.int64))
+        out.append(np.concatenate([total[-1:], shorter]))
     return out[0], out[1]
 
 
-def _emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate lines (their numbers beside the text) with their words and variants."""
-    for b in batches:
-        out = {c: [] for c in ("no", "words", "v1", "v2", "row")}
-        for row, (text, numbers) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
-            lines = text.split(b"\n")
-            for no in numbers:
-                words = _words(lines[no])
-                v1, v2 = variants(words)
-                out["row"].append(row)
-                out["no"].append(no)
-                out["words"].append(b" ".join(words).decode())
-                out["v1"].append(v1)
-                out["v2"].append(v2)
-        yield pa.RecordBatch.from_arrays(
-            [
-                b.column(0).take(pa.array(out["row"], pa.int64())), pa.array(out["no"], pa.int32()), pa.array(out["words"], pa.string()),
-                pa.array(out["v1"], pa.list_(pa.int64())), pa.array(out["v2"], pa.list_(pa.int64())),
-            ],
-            names=["_id", "_no", "_words", "_v1", "_v2"],
-        )
-
-
 def within_one(a: list[str], b: list[str]) -> bool:
     """At most one word inserted, deleted or substituted."""
     if abs(len(a) - len(b)) > 1:
@@ -126,121 +84,319 @@ def within_one(a: list[str], b: list[str]) -> bool:
     return short[i + (len(short) == len(long)) :] == long[i + 1 :]
 
 
+def _zip(x: np.ndarray) -> bytes:
+    return zlib.compress(x.tobytes(), 1)
+
+
+def _unzip(x: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(x), kind)
+
+
+class Asked:
+    """Keys of one kind in the order they are sent: by part, then in the order given."""
+
+    def __init__(self, keys: np.ndarray, other: np.ndarray, parts: int, offset: int):
+        part = ((other >> np.uint64(20)) % np.uint64(parts)).astype(np.uint32)
+        self.order = np.argsort(part, kind="stable")
+        self.keys, self.offset = keys[self.order], offset
+        self.cuts = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
+
+    def sent(self, block: int, *more: np.ndarray) -> pd.DataFrame:
+        some = np.flatnonzero(np.diff(self.cuts))
+        at = [slice(self.cuts[p], self.cuts[p + 1]) for p in some]
+        cols = {"_part": (some + self.offset).astype(np.int32), "_block": block, "_a": [self.keys[x].tobytes() for x in at]}
+        for name, values in zip("bcd", more):
+            values = values[self.order]
+            cols[f"_{name}"] = [_zip(values[x]) for x in at]
+        return pd.DataFrame(cols).reindex(columns=["_part", "_block", "_a", "_b", "_c", "_d"])
+
+    def bits(self, answers: pd.DataFrame) -> Iterator[tuple[np.ndarray, pd.Series]]:
+        """Of each answered part: the keys (as given) whose bit is set, and the answer."""
+        mine = answers[(answers["_part"] >= self.offset) & (answers["_part"] < self.offset + len(self.cuts) - 1)]
+        for row in mine.itertuples(index=False):
+            a, b = self.cuts[row[0] - self.offset], self.cuts[row[0] - self.offset + 1]
+            yield self.order[a:b][np.unpackbits(np.frombuffer(row[2], np.uint8), count=b - a).astype(bool)], row
+
+
+class Lines:
+    """The lines of a block in order, and what each pass asks of the parts."""
+
+    def __init__(self, block: pd.DataFrame, parts: int, min_words: int, near_words: int):
+        self.parts, self.near_words = parts, near_words
+        ids = block["_id"].to_numpy(np.int64)
+        nth = block.groupby("_id").cumcount().to_numpy(np.int64)  # rows that share an id
+        doc, no, n, self.words = [], [], [], []
+        for d, text in enumerate(block["_text"]):
+            for i, line in enumerate(text.split(b"\n")):
+                words = line.lower().split()
+                if len(words) >= min_words:
+                    doc.append(d)
+                    no.append(i)
+                    n.append(len(words))
+                    self.words.append(b" ".join(words))
+        self.doc, self.no, self.n = np.array(doc, np.int64), np.array(no, np.int64), np.array(n, np.int64)
+        self.id, self.sub = ids[self.doc], nth[self.doc] << 32 | self.no
+        seen: dict[bytes, int] = {}
+        self.same = np.fromiter((seen.setdefault(w, i) for i, w in enumerate(self.words)), np.int64, len(self.words))
+        self.firsts = np.flatnonzero(self.same == np.arange(len(self.words)))
+        keys = np.array([_key(self.words[i]) for i in self.firsts], np.uint64).reshape(-1, 2)
+        self.ident = keys[:, 0]
+        self.exact = Asked(keys[:, 0], keys[:, 1], parts, 0)
+
+    def ask_halves(self) -> tuple[Asked, np.ndarray]:
+        """Each distinct half once; its line's key, or 0 if the block has two lines with it."""
+        self.long = np.flatnonzero(self.n[self.firsts] >= self.near_words)  # among the firsts
+        each = [_key(h) for k in self.long for h in halves(self.words[self.firsts[k]].split(b" "))]
+        each = np.array(each, np.uint64).reshape(-1, 2)
+        keys, at, self.half, times = np.unique(each[:, 0], return_index=True, return_inverse=True, return_counts=True)
+        line = np.where(times > 1, np.uint64(0), np.repeat(self.ident[self.long], 4)[at])
+        self.half_times = times
+        return Asked(keys, each[at, 1], self.parts, self.parts), line
+
+    def earliest(self, answers: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """For each line the place of its first equal."""
+        at_id, at_sub = self.id.copy(), self.sub.copy()
+        for again, row in self.exact.bits(answers):
+            at_id[self.firsts[again]], at_sub[self.firsts[again]] = _unzip(row[3], np.int64), _unzip(row[4], np.int64)
+        return at_id[self.same], at_sub[self.same]
+
+    def candidates(self, answers: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+        """Lines that are the first of their text and share a half: the line, and the four halves' bits."""
+        halves_asked, _ = self.ask_halves()
+        shared = self.half_times > 1
+        for hit, _ in halves_asked.bits(answers):
+            shared[hit] = True
+        later = np.zeros(len(self.firsts), bool)
+        for again, _ in self.exact.bits(answers):
+            later[again] = True
+        bits = shared[self.half].reshape(-1, 4)
+        for k in np.flatnonzero(bits.any(axis=1) & ~later[self.long]):
+            yield int(self.firsts[self.long[k]]), bits[k]
+
+    def ask_variants(self, answers: pd.DataFrame) -> Asked:
+        """Each distinct key and deleted position once, of the block's first line that has it."""
+        line, at, v1, v2 = [], [], [], []
+        for i, (own_first, own_last, _, _) in self.candidates(answers):
+            n = int(self.n[i])
+            middle = (n - 1) // 2
+            low, high = (0 if own_last else middle), (n - 1 if own_first else middle)
+            keep = np.arange(low + 1, high + 2) if own_first or own_last else np.zeros(0, np.int64)
+            keep = np.concatenate([[0], keep])
+            a, b = variants(self.words[i].split(b" "))
+            line.append(np.full(len(keep), i))
+            at.append(keep)
+            v1.append(a[keep])
+            v2.append(b[keep])
+        cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+        line, at, v1, v2 = cat(line, np.int64), cat(at, np.int64), cat(v1, np.uint64), cat(v2, np.uint64)
+        self.asking = line
+        order = np.lexsort((line, at, v2, v1))
+        changed = np.zeros(len(order), bool)
+        changed[:1] = True
+        for x in (v1, v2, at):
+            changed[1:] |= x[order][1:] != x[order][:-1]
+        group = np.empty(len(order), np.int64)
+        group[order] = np.cumsum(changed) - 1
+        first = order[changed]
+        rank = np.argsort(first, kind="stable")  # keys in the order of their first lines
+        self.variant = np.argsort(rank)[group]
+        self.key_line, self.key_at = line[first[rank]], at[first[rank]]
+        return Asked(v1[first[rank]], v2[first[rank]], self.parts, 2 * self.parts)
+
+    def near(self, answers: pd.DataFrame) -> dict[int, tuple[int, int]]:
+        """For each candidate the place of the earliest line that shares a key with it, itself included."""
+        asked = self.ask_variants(answers)
+        at_id, at_sub = self.id[self.key_line], self.sub[self.key_line]
+        for better, row in asked.bits(answers):
+            at_id[better], at_sub[better] = _unzip(row[3], np.int64), _unzip(row[4], np.int64)
+        best: dict[int, tuple[int, int]] = {}
+        for i, a, b in zip(self.asking.tolist(), at_id[self.variant].tolist(), at_sub[self.variant].tolist()):
+            if i not in best or (a, b) < best[i]:
+                best[i] = (a, b)
+        return best
+
+
+def _in_order(block: pd.DataFrame) -> pd.DataFrame:
+    return block.sort_values(["_id", "_text"], kind="stable", ignore_index=True)
+
+
+def _answer(part: pd.DataFrame, parts: int) -> pd.DataFrame:
+    part = part.sort_values("_block", ignore_index=True)
+    each = [np.frombuffer(x, np.uint64) for x in part["_a"]]
+    keys = np.concatenate(each)
+    kind = int(part["_part"].iat[0]) // parts
+    places = [np.arange(len(keys)), np.arange(len(keys))]
+    if kind == 0:  # equal lines: the first one
+        order = np.argsort(keys, kind="stable")
+        start = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1]))
+        best = np.empty(len(keys), np.int64)
+        best[order] = np.repeat(order[start], np.diff(np.append(start, len(keys))))
+    elif kind == 1:  # halves: another line has it
+        line = np.concatenate([_unzip(x, np.uint64) for x in part["_b"]])
+        order = np.lexsort((line, keys))
+        k, x = keys[order], line[order]
+        start = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+        sizes = np.diff(np.append(start, len(keys)))
+        shared = (x[start] == 0) | (x[start] != x[start + sizes - 1])
+        hit = np.empty(len(keys), bool)
+        hit[order] = np.repeat(shared, sizes)
+    else:  # variants: the whole line meets all deletions, a deletion the whole line and those at its position
+        at = np.concatenate([_unzip(x, np.int64) for x in part["_d"]])
+        order = np.lexsort((at, keys))
+        k, x = keys[order], at[order]
+        new = np.append(True, k[1:] != k[:-1])
+        start, mine = np.flatnonzero(new), np.cumsum(new) - 1
+        far = len(keys)
+        whole = np.minimum.reduceat(np.where(x == 0, order, far), start)[mine]
+        cut = np.minimum.reduceat(np.where(x > 0, order, far), start)[mine]
+        new |= np.append(True, x[1:] != x[:-1])
+        same = np.minimum.reduceat(order, np.flatnonzero(new))[np.cumsum(new) - 1]
+        best = np.empty(len(keys), np.int64)
+        best[order] = np.minimum(same, np.where(x == 0, cut, whole))
+    if kind != 1:
+        places = [np.concatenate([_unzip(x, np.int64) for x in part[c]]) for c in ("_b", "_c")]
+        hit = best < np.arange(len(keys))
+    cuts = np.cumsum([0, *map(len, each)])
+    out = {"_part": part["_part"], "_block": part["_block"], "_a": [np.packbits(hit[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])]}
+    if kind != 1:
+        for c, place in zip("bc", places):
+            out[f"_{c}"] = [_zip(place[best[a:b][hit[a:b]]]) for a, b in zip(cuts, cuts[1:])]
+    return pd.DataFrame(out).reindex(columns=["_part", "_block", "_a", "_b", "_c", "_d"])
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ok = [within_one(x.split(" "), y.split(" ")) for x, y in zip(b.column("_words").to_pylist(), b.column("_other").to_pylist())]
-        yield b.select(["_k1", "_k2", "_best"]).filter(pa.array(ok, pa.bool_()))
-
-
-def _text_hash(name: str) -> Column:
-    return F.xxhash64(F.coalesce(column(name), F.lit("")))
-
-
-def _near(firsts: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``_k1, _k2, _best``: lines with an earlier first occurrence of a near line."""
-    each = firsts.where(F.size("_halves") > 0).select("_k1", "_k2", "_first", F.explode("_halves").alias("_half"))
-    shared = each.groupBy("_half").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_half")
-    lines = each.join(shared, "_half", "left_semi").select("_k1", "_k2", "_first").distinct()
-    lines = settled(lines.select("_k1", "_k2", "_first", F.col("_first._id").alias("_id"), F.col("_first._no").alias("_no")))
-    wanted = lines.groupBy(F.col("_id"), F.col("_first._text").alias("_text")).agg(F.collect_set("_no").alias("_numbers"))
-    texts = docs.select(id_key(id_col).alias("_id"), _text_hash(text_col).alias("_text"), text_bytes(text_col).alias("_bytes"))
-    texts = texts.join(wanted, ["_id", "_text"]).select("_id", "_text", "_bytes", "_numbers")
-    place = F.struct("_id", "_text")
-    texts = texts.select(place.alias("_place"), "_bytes", "_numbers")
-    schema = "_id struct<_id:long,_text:long>, _no int, _words string, _v1 array<long>, _v2 array<long>"
-    read = texts.mapInArrow(_emitted, schema).select(F.struct(F.col("_id._id"), F.col("_no"), F.col("_id._text")).alias("_first"), "_words", "_v1", "_v2")
-    read = settled(read.dropDuplicates(["_first"]).join(lines.select("_k1", "_k2", "_first"), "_first"))
-    keys = read.select("_k1", "_k2", "_first", F.posexplode(F.arrays_zip("_v1", "_v2")).alias("_at", "_v"))
-    keys = keys.select("_k1", "_k2", "_first", "_at", F.col("_v._v1").alias("_v1"), F.col("_v._v2").alias("_v2"))
-    # position 0 is the whole line: it is one edit from every deletion that equals it, a deletion from those at its position
-    met = keys.groupBy("_v1", "_v2", "_at").agg(F.min("_first").alias("_m"), F.count(F.lit(1)).alias("_c"))
-    met = met.groupBy("_v1", "_v2").agg(
-        F.min(F.when(F.col("_at") == 0, F.col("_m"))).alias("_whole"),
-        F.min(F.when(F.col("_at") > 0, F.col("_m"))).alias("_cut"),
-        F.sum("_c").alias("_c"),
-        F.collect_list(F.struct("_at", "_m")).alias("_each"),
-    )
-    met = met.where("_c > 1").select("_v1", "_v2", "_whole", "_cut", F.explode("_each").alias("_e"))
-    met = met.select(
-        "_v1", "_v2", F.col("_e._at").alias("_at"),
-        F.when(F.col("_e._at") == 0, F.least("_cut", "_e._m")).otherwise(F.least("_whole", "_e._m")).alias("_m"),
-    )
-    best = keys.join(met, ["_v1", "_v2", "_at"]).groupBy("_k1", "_k2").agg(F.min("_m").alias("_best"), F.min("_first").alias("_first"))
-    best = best.where(F.col("_best") < F.col("_first")).select("_k1", "_k2", "_best")
-    both = best.join(read.select("_k1", "_k2", "_words"), ["_k1", "_k2"])
-    both = both.join(read.select(F.col("_first").alias("_best"), F.col("_words").alias("_other")), "_best")
-    return both.select("_k1", "_k2", "_best", "_words", "_other").mapInArrow(
-        _verified, "_k1 long, _k2 long, _best struct<_id:long,_no:int,_text:long>"
-    )
+        yield b.select(["_block", "_id", "_sub", "_of_id", "_of_sub"]).filter(pa.array(ok, pa.bool_()))
+
+
+_TOLD = "_block int, _id long, _sub long, _of_id long, _of_sub long"
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, min_words: int, near_words: int, block_mb: float, part_mb: float, carry, finish, schema: str):
+    """``finish(block, lines, first_id, first_sub, near)`` of every block."""
+    spread = dealt(docs, id_col, text_col, block_mb, carry)
+    parts = max(2 * docs.sparkSession.sparkContext.defaultParallelism, math.ceil(spread.text_bytes / (part_mb * 1e6)))
+    blocks = spread.table.groupBy("_block")
+
+    def read(block: pd.DataFrame) -> tuple[pd.DataFrame, Lines]:
+        block = _in_order(block)
+        return block, Lines(block, parts, min_words, near_words)
+
+    def ask(block: pd.DataFrame) -> pd.DataFrame:
+        block, lines = read(block)
+        number = block["_block"].iat[0]
+        asked, line = lines.ask_halves()
+        return pd.concat([lines.exact.sent(number, lines.id[lines.firsts], lines.sub[lines.firsts]), asked.sent(number, line)])
+
+    def ask_more(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        block, lines = read(block)
+        asked = lines.ask_variants(answers)
+        return asked.sent(block["_block"].iat[0], lines.id[lines.key_line], lines.sub[lines.key_line], lines.key_at)
+
+    def show(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        """Candidates, their words, and the earlier line each is to be compared with."""
+        block, lines = read(block)
+        rows = []
+        for i, best in lines.near(answers).items():
+            own = (int(lines.id[i]), int(lines.sub[i]))
+            rows.append((block["_block"].iat[0], *own, lines.words[i].decode(), *(best if best < own else (None, None))))
+        out = pd.DataFrame(rows, columns=["_block", "_id", "_sub", "_words", "_of_id", "_of_sub"])
+        return out.astype({"_of_id": "Int64", "_of_sub": "Int64"})
+
+    def close(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        block, lines = read(block)
+        told = answers[answers["_part"] < 0]
+        near = {(int(r[6]), int(r[7])): (int(r[8]), int(r[9])) for r in told.itertuples(index=False)}
+        return finish(block, lines, *lines.earliest(answers), near)
+
+    def by_block(df: DataFrame):
+        return df.repartition(spread.count, "_block").groupBy("_block")
+
+    def answer(part: pd.DataFrame) -> pd.DataFrame:
+        return _answer(part, parts)
+
+    first = blocks.applyInPandas(ask, _MESSAGE).groupBy("_part").applyInPandas(answer, _MESSAGE)
+    second = blocks.cogroup(by_block(first)).applyInPandas(ask_more, _MESSAGE).groupBy("_part").applyInPandas(answer, _MESSAGE)
+    shown = blocks.cogroup(by_block(first.unionByName(second))).applyInPandas(show, "_block int, _id long, _sub long, _words string, _of_id long, _of_sub long")
+    others = shown.select(F.col("_id").alias("_of_id"), F.col("_sub").alias("_of_sub"), F.col("_words").alias("_other"))
+    told = shown.where("_of_id is not null").join(others, ["_of_id", "_of_sub"]).mapInArrow(_verified, _TOLD)
+    none = F.lit(None).cast("binary")
+    told = told.select(F.lit(-1).alias("_part"), "_block", *[none.alias(f"_{c}") for c in "abcd"], "_id", "_sub", "_of_id", "_of_sub")
+    plain = first.select("*", *[F.lit(None).cast("long").alias(c) for c in ("_id", "_sub", "_of_id", "_of_sub")])
+    return blocks.cogroup(by_block(plain.unionByName(told))).applyInPandas(close, schema), spread
 
 
 def repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_words: int = MIN_WORDS,
+    near_words: int = NEAR_WORDS,
+    block_mb: float = 8.0,
+    part_mb: float = 32.0,
 ) -> DataFrame:
     """Every line of ``min_words`` words or more, and whether an earlier one repeats it.
 
     Returns the id, ``line_no`` (from 0, by line feeds), ``n_words``, ``removed``, and
-    ``of_id`` and ``of_line`` (the earliest line equal to it, or from ``near_words`` words
-    on within one word of it; its own place if it stays).  Earlier means a smaller id, or
-    a smaller line number in the same document; lines are judged on the input.
+    ``of_id`` and ``of_line``: the first equal line, or for the first of its text, from
+    ``near_words`` words on, the earliest within one word of it, or its own place.
+    Earlier means a smaller id, or a smaller line number in the same document; lines are
+    judged on the input.
 
     Null and empty texts have no lines.  A null id counts as smaller than all and comes
-    back null.  Of rows that share an id, those with another text come one after the other
-    by the hash of the text; equal rows share one place, so neither repeats the other.
-    An empty table gives an empty table.  Other columns are not read.
+    back null.  Rows that share an id come one after the other, by text; of equal rows the
+    second repeats the first.  An empty table gives an empty table.  Other columns are not
+    read.
     """
-    out = _judged(docs, id_col, text_col, min_words, near_words)
-    return out.select(
-        id_back("_id").alias(id_col),
-        F.col("_no").alias("line_no"),
-        F.col("_n").alias("n_words"),
-        "removed",
-        F.when(F.col("_best._id") != F.lit(-(2**63)), F.col("_best._id")).alias("of_id"),
-        F.col("_best._no").alias("of_line"),
-    )
-
-
-def _judged(docs: DataFrame, id_col: str, text_col: str, min_words: int, near_words: int) -> DataFrame:
-    schema = "_id long, _text long, _no int, _n int, _k1 long, _k2 long, _halves array<long>"
-    narrow = docs.select(id_key(id_col).alias("_id"), _text_hash(text_col).alias("_text"), text_bytes(text_col).alias("_bytes"))
-    rows = settled(narrow.mapInArrow(_rows(min_words, near_words), schema))
-    place = F.struct("_id", "_no", "_text")
-    firsts = rows.groupBy("_k1", "_k2").agg(F.min(F.struct(place.alias("_first"), "_halves")).alias("_x"))
-    firsts = settled(firsts.select("_k1", "_k2", F.col("_x._first").alias("_first"), F.col("_x._halves").alias("_halves")))
-    near = _near(firsts, docs, id_col, text_col)
-    best = firsts.join(near, ["_k1", "_k2"], "left").select("_k1", "_k2", F.coalesce("_best", "_first").alias("_best"))
-    out = rows.drop("_halves").join(best, ["_k1", "_k2"])
-    return out.withColumn("removed", F.col("_best") < place)
-
-
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        out = []
-        for text, gone in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            if gone:
-                drop = set(gone)
-                text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in drop)
-            out.append(text)
-        rest = list(range(2, b.num_columns))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out, pa.string()), *[b.column(i) for i in rest]], names=["_new", *[b.schema.field(i).name for i in rest]]
-        )
+
+    def finish(block, lines, first_id, first_sub, near):
+        own = list(zip(lines.id.tolist(), lines.sub.tolist()))
+        of = [(a, b) if (a, b) != p else near.get(p, p) for a, b, p in zip(first_id.tolist(), first_sub.tolist(), own)]
+        return pd.DataFrame(
+            {
+                "_id": lines.id, "line_no": lines.no, "n_words": lines.n, "removed": [x != p for x, p in zip(of, own)],
+                "_of": np.array([x[0] for x in of], np.int64), "of_line": np.array([x[1] & 0xFFFFFFFF for x in of], np.int64),
+            }
+        )
+
+    schema = "_id long, line_no int, n_words int, removed boolean, _of long, of_line int"
+    out, _ = _judged(docs, id_col, text_col, min_words, near_words, block_mb, part_mb, (), finish, schema)
+    return out.select(id_back("_id").alias(id_col), "line_no", "n_words", "removed", id_back("_of").alias("of_id"), "of_line")
 
 
 def drop_repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_words: int = MIN_WORDS,
+    near_words: int = NEAR_WORDS,
+    block_mb: float = 8.0,
+    part_mb: float = 32.0,
 ) -> DataFrame:
-    """The documents, same columns, their texts without the repeated lines."""
-    gone = _judged(docs, id_col, text_col, min_words, near_words).where("removed")
-    gone = gone.groupBy("_id", "_text").agg(F.collect_set("_no").alias("_gone"))
+    """The documents, same columns, their texts without the repeated lines; a null text stays null."""
     names = docs.columns
-    inner = docs.select(id_key(id_col).alias("_id"), _text_hash(text_col).alias("_text"), *[column(c).alias(f"_c{i}") for i, c in enumerate(names)])
-    joined = inner.join(gone, ["_id", "_text"], "left").drop("_id", "_text")
-    body = f"_c{names.index(text_col)}"
-    order = [body, "_gone", *[c for c in joined.columns if c not in (body, "_gone")]]
-    kinds = {f.name: f.dataType.simpleString() for f in joined.schema}
-    cleaned = joined.select(*order).mapInArrow(_without, "_new string, " + ", ".join(f"{c} {kinds[c]}" for c in order[2:]))
-    return cleaned.select(*[column("_new" if c == text_col else f"_c{i}").alias(c) for i, c in enumerate(names)])
+    others = [c for c in names if c not in (id_col, text_col)]
+    carry = (column(id_col).isNull(), column(text_col).isNull(), *others)
+    held = [f"_c{i}" for i in range(2, len(carry))]
+
+    def finish(block, lines, first_id, first_sub, near):
+        gone: dict[int, set[int]] = {}
+        for d, no, i, s, a, b in zip(*(x.tolist() for x in (lines.doc, lines.no, lines.id, lines.sub, first_id, first_sub))):
+            if (a, b) != (i, s) or (i, s) in near:
+                gone.setdefault(d, set()).add(no)
+        texts = []
+        for d, (text, null) in enumerate(zip(block["_text"], block["_c1"])):
+            if d in gone:
+                text = b"\n".join(x for n, x in enumerate(text.split(b"\n")) if n not in gone[d])
+            texts.append(None if null else text.decode())
+        return pd.DataFrame({"_id": block["_id"], "_new": texts, **{c: block[c] for c in held}})
+
+    inner = docs.select(*[c.alias(f"_c{i}") if not isinstance(c, str) else column(c).alias(f"_c{i}") for i, c in enumerate(carry)])
+    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in inner.schema.fields[2:])
+    out, _ = _judged(docs, id_col, text_col, min_words, near_words, block_mb, part_mb, carry, finish, "_id long, _new string" + kinds)
+    where = {id_col: id_back("_id"), text_col: F.col("_new")} | {c: F.col(f"_c{i + 2}") for i, c in enumerate(others)}
+    return out.select(*[where[c].alias(c) for c in names])
 
 
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
@@ -270,7 +426,7 @@ near as (
     union all select w.k, v.first as m from w join v on v.cut = w.whole
 ),
 best as (select k, min(m) as m from (select k, m from near union all select k, first as m from f) group by k)
-select l.doc_id, cast(l.line_no as int) as line_no, cast(l.n as int) as n_words, b.m < {'d': l.doc_id, 'l': l.line_no} as removed,
-       b.m.d as of_id, cast(b.m.l as int) as of_line
-from l join best b on l.k = b.k
+select doc_id, cast(line_no as int) as line_no, cast(n as int) as n_words, m < place as removed,
+       case when first < place then first.d else m.d end as of_id, cast(case when first < place then first.l else m.l end as int) as of_line
+from (select l.*, b.m, f.first, {'d': l.doc_id, 'l': l.line_no} as place from l join best b on l.k = b.k join f on l.k = f.k)
 """
