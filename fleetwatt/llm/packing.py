@@ -10,6 +10,7 @@ first, without further cuts.  Only pieces are shuffled, never tokens.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from bisect import bisect_left, insort
@@ -31,39 +32,85 @@ END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Partitions whose open windows one task merges.
 MERGED = 32
-#: Words whose ids a worker remembers; they are tokenized again after that.
-REMEMBERED = 300_000
+#: Words whose ids a worker remembers as recent; as many older ones are kept until the next turn.
+REMEMBERED = 400_000
 
-_IDS: dict[bytes, bytes] = {}
+#: Fixed value: the pattern of tokenizers that drop white space and keep letters, single digits and signs apart.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SIGNS = b".,!?;:"
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class WordTokenizer:
+    """A tokenizer that cuts at white space before anything else and drops it.
 
-    if not os.path.isabs(path):
-        import public_tokenizers
+    The ids of a text are then those of its words in a row, and each distinct word is
+    tokenized once.  Capital letters A-Z do not matter to it, and signs after a letter or
+    digit are tokens of their own, so "word", "Word" and "word," need one call.
+    """
 
-        path = public_tokenizers.path(path)
-    return Tokenizer.from_file(path)
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        if not os.path.isabs(path):
+            import public_tokenizers
+
+            path = public_tokenizers.path(path)
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)
+        patterns = [p.get("pattern", {}).get("Regex") for p in (parts["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        lowers = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
+        if WORD_PATTERN not in patterns or "Lowercase" not in lowers:
+            raise ValueError("only tokenizers of lower-cased words without their white space are read")
+        self.inner = Tokenizer.from_file(path)
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        out = []
+        for at in range(0, len(words), 10_000):
+            some = self.inner.encode_batch_fast([w.decode() for w in words[at : at + 10_000]], add_special_tokens=False)
+            out += [np.array(e.ids, "<u4").tobytes() for e in some]
+        return out
+
+    @staticmethod
+    def _stem(word: bytes) -> bytes:
+        """The word without signs at its end, if a letter or digit stands before them."""
+        stem = word.rstrip(_SIGNS)
+        if stem == word or not stem or not (stem[-1:].isalnum() or stem[-1] > 127 and stem.decode()[-1].isalpha()):
+            return word
+        return stem
+
+    def _learn(self, new: set[bytes]) -> None:
+        known, older = self.recent, self.older
+        for w in new:
+            if w in older:
+                known[w] = older[w]
+        new = {w: self._stem(w) for w in new if w not in known}
+        wanted = {s for s in new.values() if s not in known} | {w[len(s) :] for w, s in new.items() if s != w and w[len(s) :] not in known}
+        wanted = list(wanted)
+        known.update(zip(wanted, self._encoded(wanted)))
+        for w, s in new.items():
+            if s != w:
+                known[w] = known[s] + known[w[len(s) :]]
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers."""
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]  # special tokens are not lower-cased
+        if len(self.recent) > REMEMBERED:
+            self.older, self.recent = self.recent, {}
+        known = self.recent
+        self._learn({w for words in split for w in words if w not in known})
+        return [b"".join(map(self.recent.__getitem__, words)) for words in split]
 
 
-def token_ids(texts: list[bytes], path: str = TOKENIZER) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit numbers.
+@lru_cache(maxsize=2)
+def _tokenizer(path: str) -> WordTokenizer:
+    return WordTokenizer(path)
 
-    The tokenizer drops white space and cuts at it before anything else, so a text's ids
-    are those of its words in a row, and each distinct word is tokenized once.
-    """
-    split = [t.split() for t in texts]
-    if len(_IDS) > REMEMBERED:
-        _IDS.clear()
-    new = list({w for words in split for w in words} - _IDS.keys())
-    for at in range(0, len(new), 10_000):
-        some = new[at : at + 10_000]
-        for w, e in zip(some, _tokenizer(path).encode_batch([w.decode() for w in some], add_special_tokens=False)):
-            _IDS[w] = np.array(e.ids, "<u4").tobytes()
-    return [b"".join(map(_IDS.__getitem__, words)) for words in split]
+
+def token_ids(texts: list[bytes], path: str = TOKENIZER) -> list[bytes]:
+    return _tokenizer(path).ids(texts)
 
 
 class Windows:
@@ -184,7 +231,8 @@ def pack(
 
     A null or empty text is the end id alone.  A null id comes back null; rows that share
     an id are packed each.  An empty table gives an empty table.  Other columns are not
-    read.  ``tokenizer`` is a file path, or a name among the public tokenizer files.
+    read.  ``tokenizer`` is a file path, or a name among the public tokenizer files; it
+    must take lower-cased words and drop white space.
     """
     source = docs.select(id_key(id_col).alias("_id"), text_bytes(text_col).alias("_text"))
     schema = _PIECES + (", ids array<int>" if with_ids else "")
