@@ -132,9 +132,15 @@ class Model:
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """Machines from the columns ``_id, _text, _lang``: at most ``sample`` documents of a
     language, those with the smallest hash of their id, so the fit has a fixed size."""
+    counts = {r[0]: r[1] for r in labelled.groupBy("_lang").agg(F.count(F.lit(1))).collect()}
+    # hashes below a bound that about twice the sample has; only those are ranked
+    chance = F.xxhash64("_id", F.lit(11)).cast("double") / F.lit(2.0**64) + 0.5
+    share = F.lit(0.0)
+    for lang, n in counts.items():
+        share = F.when(F.col("_lang") == lang, F.lit(min(1.0, (2 * sample + 100) / n))).otherwise(share)
     nth = Window.partitionBy("_lang").orderBy(F.xxhash64("_id", F.lit(11)), "_id")
-    drawn = labelled.select("_id", "_lang").withColumn("_nth", F.row_number().over(nth)).where(F.col("_nth") <= sample)
-    counts = {r[0]: r[1] for r in drawn.groupBy("_lang").agg(F.count(F.lit(1))).collect()}
+    drawn = labelled.select("_id", "_lang").where(chance <= share)
+    drawn = drawn.withColumn("_nth", F.row_number().over(nth)).where(F.col("_nth") <= sample)
     langs = [lang for lang, n in counts.items() if n >= LEAST]
     wanted = machines(langs)
     if not wanted:
