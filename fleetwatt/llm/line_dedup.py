@@ -265,8 +265,15 @@ def _answer(part: pd.DataFrame, parts: int) -> pd.DataFrame:
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by place: the line at a place, then the lines that would repeat it."""
+    here, words = None, []
     for b in batches:
-        ok = [within_one(x.split(" "), y.split(" ")) for x, y in zip(b.column("_words").to_pylist(), b.column("_other").to_pylist())]
+        ok = []
+        places = zip(b.column("_of_id").to_pylist(), b.column("_of_sub").to_pylist())
+        for place, own, text in zip(places, b.column("_own").to_pylist(), b.column("_words").to_pylist()):
+            if own:
+                here, words = place, text.split(" ")
+            ok.append(not own and place == here and within_one(text.split(" "), words))
         yield b.select(["_block", "_id", "_sub", "_of_id", "_of_sub"]).filter(pa.array(ok, pa.bool_()))
 
 
@@ -295,14 +302,14 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, min_words: int, near_wo
         return asked.sent(block["_block"].iat[0], lines.id[lines.key_line], lines.sub[lines.key_line], lines.key_at)
 
     def show(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        """Candidates, their words, and the earlier line each is to be compared with."""
+        """The words of each candidate at its own place, and at that of the earlier line it is to be compared with."""
         block, lines = read(block)
         rows = []
         for i, best in lines.near(answers).items():
-            own = (int(lines.id[i]), int(lines.sub[i]))
-            rows.append((block["_block"].iat[0], *own, lines.words[i].decode(), *(best if best < own else (None, None))))
-        out = pd.DataFrame(rows, columns=["_block", "_id", "_sub", "_words", "_of_id", "_of_sub"])
-        return out.astype({"_of_id": "Int64", "_of_sub": "Int64"})
+            place = (int(lines.id[i]), int(lines.sub[i]))
+            for at in {place, best}:
+                rows.append((block["_block"].iat[0], *place, *at, at == place, lines.words[i].decode()))
+        return pd.DataFrame(rows, columns=["_block", "_id", "_sub", "_of_id", "_of_sub", "_own", "_words"])
 
     def close(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         block, lines = read(block)
@@ -318,9 +325,9 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, min_words: int, near_wo
 
     first = blocks.applyInPandas(ask, _MESSAGE).groupBy("_part").applyInPandas(answer, _MESSAGE)
     second = blocks.cogroup(by_block(first)).applyInPandas(ask_more, _MESSAGE).groupBy("_part").applyInPandas(answer, _MESSAGE)
-    shown = blocks.cogroup(by_block(first.unionByName(second))).applyInPandas(show, "_block int, _id long, _sub long, _words string, _of_id long, _of_sub long")
-    others = shown.select(F.col("_id").alias("_of_id"), F.col("_sub").alias("_of_sub"), F.col("_words").alias("_other"))
-    told = shown.where("_of_id is not null").join(others, ["_of_id", "_of_sub"]).mapInArrow(_verified, _TOLD)
+    shown = blocks.cogroup(by_block(first.unionByName(second))).applyInPandas(show, _TOLD + ", _own boolean, _words string")
+    met = shown.repartition("_of_id", "_of_sub").sortWithinPartitions("_of_id", "_of_sub", F.desc("_own"))
+    told = met.mapInArrow(_verified, _TOLD)
     none = F.lit(None).cast("binary")
     told = told.select(F.lit(-1).alias("_part"), "_block", *[none.alias(f"_{c}") for c in "abcd"], "_id", "_sub", "_of_id", "_of_sub")
     plain = first.select("*", *[F.lit(None).cast("long").alias(c) for c in ("_id", "_sub", "_of_id", "_of_sub")])
