@@ -28,10 +28,11 @@ from fleetwatt.llm.common import column, id_back, id_key
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-#: Marked words whose ids a worker remembers, and the longest it remembers.
-REMEMBERED, LONGEST = 300_000, 48
+#: Marked words whose ids a worker remembers as recent (as many older ones are kept until
+#: the next turn), and the longest it remembers.
+REMEMBERED, LONGEST = 250_000, 48
 #: Pairs of pieces whose fit a worker remembers.
-PAIRS = 1_000_000
+PAIRS = 200_000
 
 NORMAL, UNKNOWN, CONTROL, USER, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 
@@ -67,40 +68,94 @@ class Pieces:
             self.out.append(shown)
         if any(MARK in p.lstrip(MARK) for p in self.id):
             raise ValueError("a piece has a mark after another character")
-        self.longest = max(map(len, self.id), default=1)
         self.worst = min(self.score.values(), default=0.0) - 10.0
-        joined = {c for p in self.id if len(p) > 1 for c in p}
-        alone = "\n" if "\n" not in joined else ""  # a line feed that no piece holds is a word of its own
-        self.cut = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
-        self.fits: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, bytes] = {}
-
-    def merged(self, chars: list[str]) -> list[str]:
-        """Merge neighbours, best score and then leftmost first, until none is a piece."""
+        #: every end of a piece: a longer end cannot be one if a shorter is not
+        self.ends = {p[i:] for p in self.id for i in range(len(p))}
+        self.cut = self._words()
+        self.left: dict[str, str] = {}
+        self.right: dict[str, str] = {}
+        self.seen: dict[str, bool] = {}
+        if self.bpe:
+            self._last_merges()
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _words(self) -> re.Pattern:
+        """Cuts a text where no piece can cross: before marks, and around line feeds and
+        before signs if no piece has a line feed, or a letter before the sign."""
+        inside = {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
+        feed = "" if any("\n" in x for x in inside) else "\n"
+        letter = r"[^\W\d_]"
+        signs = "".join(c for c in ".,!?;:" if not any(x[1] == c and re.match(letter, x[0]) for x in inside))
+        if not signs:
+            return re.compile(f"{feed or '(?!)'}|{MARK}*[^{MARK}{feed}]+|{MARK}+")
+        run = f"(?:[^{MARK}{feed}{signs}]+|(?<!{letter})[{signs}])"
+        return re.compile(f"{feed or '(?!)'}|{MARK}*{run}+|[{signs}]{run}*|{MARK}+")
+
+    def merged(self, chars: list[str], until: int = 1) -> list[str]:
+        """Merge neighbours, best score and then leftmost first, until none is a piece or ``until`` are left."""
         chars = list(chars)
-        while True:
+        while len(chars) > until:
             best, at = None, -1
             for i in range(len(chars) - 1):
                 s = self.score.get(chars[i] + chars[i + 1])
                 if s is not None and (best is None or s > best):
                     best, at = s, i
             if at < 0:
-                return chars
+                break
             chars[at : at + 2] = [chars[at] + chars[at + 1]]
+        return chars
+
+    def _last_merges(self) -> None:
+        """The two parts that the last merge of each piece joins.  A piece that merging its
+        own characters does not give has none, and never stands in a BPE segmentation."""
+        for p in self.id:
+            if len(p) > 1 and len(parts := self.merged(list(p), until=2)) == 2 and parts[0] + parts[1] == p:
+                self.left[p], self.right[p] = parts
 
     def _fit(self, a: str, b: str) -> bool:
-        ok = self.fits.get((a, b))
+        """Whether merging ``a + b`` gives the two pieces: undo the later of their last
+        merges, and again for the parts at the seam; until both are characters no merge
+        across the seam may come before the merge undone last."""
+        if not a:
+            return len(b) == 1 or b in self.left
+        if a[-1] == MARK:
+            return self.merged(list(a + b)) == [a, b]  # runs of marks have equal scores
+        if len(b) > 1 and b not in self.left:
+            return False
+        score, least = self.score, -np.inf
+        first = False  # a merge across the seam that is as good comes first: it is further left
+        in_a = score[a] if len(a) > 1 else np.inf
+        in_b = score[b] if len(b) > 1 else np.inf
+        while True:
+            across = score.get(a + b)
+            if across is not None and (across > least or first and across == least):
+                return False
+            if in_a < in_b:
+                least, first, a = in_a, False, self.right[a]
+                in_a = score[a] if len(a) > 1 else np.inf
+            elif in_b < np.inf:
+                least, first, b = in_b, True, self.left[b]
+                in_b = score[b] if len(b) > 1 else np.inf
+            else:
+                return True
+
+    def _fits(self, a: str, b: str) -> bool:
+        pair = a + "\0" + b
+        ok = self.seen.get(pair)
         if ok is None:
-            if len(self.fits) > PAIRS:
-                self.fits.clear()
-            ok = self.fits[a, b] = self.merged(list(a + b)) == ([a, b] if a else [b])
+            if len(self.seen) > PAIRS:
+                self.seen.clear()
+            ok = self.seen[pair] = self._fit(a, b)
         return ok
 
     def _step_bpe(self, word: str, end: int, last: list[int], best: list[float]) -> None:
         """The start of the last piece of ``word[:end]``."""
-        for start in range(max(0, end - self.longest), end):
+        for start in range(end - 1, -1, -1):
             piece = word[start:end]
-            if (end - start == 1 or piece in self.score) and self._fit(word[last[start] : start], piece):
+            if start < end - 1 and piece not in self.ends:
+                break
+            if (start == end - 1 or piece in self.score) and self._fits(word[last[start] : start], piece):
                 last.append(start)
                 best.append(0.0)
                 return
@@ -109,13 +164,15 @@ class Pieces:
     def _step_unigram(self, word: str, end: int, last: list[int], best: list[float]) -> None:
         """The start of the last piece of the best segmentation of ``word[:end]``."""
         top, at = -np.inf, end - 1
-        for start in range(max(0, end - self.longest), end):
+        for start in range(end - 1, -1, -1):
             s = self.score.get(word[start:end])
             if s is None:
-                if end - start > 1:
+                if start < end - 1:
+                    if word[start:end] not in self.ends:
+                        break
                     continue
                 s = self.worst
-            if best[start] + s > top:
+            if best[start] + s >= top:
                 top, at = best[start] + s, start
         last.append(at)
         best.append(top)
@@ -155,14 +212,18 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as 32-bit numbers."""
         split = [self.cut.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = sorted({w for words in split for w in words} - self.known.keys())
-        mine = {w: np.array(self.ids(p), np.int32).tobytes() for w, p in zip(new, self.segment(new))}
-        self.known.update((w, i) for w, i in mine.items() if len(w) <= LONGEST)
-        if any(len(w) > LONGEST for w in mine):
-            return [b"".join(mine[w] if w in mine else self.known[w] for w in words) for words in split]
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        if len(self.recent) > REMEMBERED:
+            self.older, self.recent = self.recent, {}
+        known, older = self.recent, self.older
+        new = {w for words in split for w in words if w not in known}
+        known.update((w, older[w]) for w in new if w in older)
+        new = sorted(new - known.keys())
+        long = [w for w in new if len(w) > LONGEST]
+        known.update((w, np.array(self.ids(p), np.int32).tobytes()) for w, p in zip(new, self.segment(new)))
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        for w in long:
+            del known[w]
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The text; bytes that are no UTF-8 become replacement characters."""
@@ -213,8 +274,10 @@ def decode(encoded: DataFrame, model: str = MODEL, ids_col: str = "ids", out_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             back = pieces(model)
-            text = [None if x is None else back.decode(x) for x in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(text, pa.string())], names=[*b.schema.names, "_new"])
+            for lo in range(0, b.num_rows, 100):
+                some = b.slice(lo, 100)
+                text = [None if x is None else back.decode(x) for x in some.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(text, pa.string())], names=[*b.schema.names, "_new"])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in inner.schema)
     done = inner.mapInArrow(run, kinds + ", _new string")
