@@ -33,17 +33,24 @@ TILE = 2048
 SHORT = 32
 
 
-def fingerprint(text: bytes, shingle: int = 3) -> int:
-    """Majority bits of the XXH64 (seed 42) values of all word shingles, repeats included."""
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """The XXH64 (seed 42) values of all word shingles, repeats included; none for a text without words."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     size = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(size + 1) - 1
     last = min(shingle, len(words)) - 1
     spans = zip((ends - size)[: len(words) - last].tolist(), ends[last:].tolist())
-    h = np.fromiter((xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in spans), np.uint64, len(words) - last)
+    return np.fromiter((xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in spans), np.uint64, len(words) - last)
+
+
+def fingerprint(text: bytes, shingle: int = 3) -> int:
+    """Majority bits of the hashes of all word shingles."""
+    h = shingle_hashes(text, shingle)
+    if not len(h):
+        return 0
     ones = np.zeros(64, np.int64)
     for at in range(0, len(h), 1 << 15):
         some = h[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8)
@@ -233,18 +240,23 @@ def near_copies(docs: DataFrame, shingle: int = 3, most: int = 3, id_col: str =
     )
 
 
-def one_of_each(docs: DataFrame, shingle: int = 3, most: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns, without those whose component has a smaller id.
-
-    Rows that share an id are one document and stay or go together.
-    """
+def without_later(docs: DataFrame, marked: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` without the ids whose ``component_id`` in ``marked`` is another one."""
     names = docs.columns
-    marked = near_copies(docs, shingle, most, id_col, text_col).select(id_key(id_col).alias("_gone"), id_key("component_id").alias("_first"))
+    marked = marked.select(id_key(id_col).alias("_gone"), id_key("component_id").alias("_first"))
     gone = marked.where("_gone <> _first").select("_gone").distinct()
     inner = docs.select(id_key(id_col).alias("_id"), *[column(c).alias(f"_c{i}") for i, c in enumerate(names)])
     left = inner.join(gone, F.col("_id") == F.col("_gone"), "left_anti")
     return left.select(*[column(f"_c{i}").alias(c) for i, c in enumerate(names)])
 
 
+def one_of_each(docs: DataFrame, shingle: int = 3, most: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns, without those whose component has a smaller id.
+
+    Rows that share an id are one document and stay or go together.
+    """
+    return without_later(docs, near_copies(docs, shingle, most, id_col, text_col), id_col)
+
+
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
     return near_copies(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -12,8 +12,9 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 import odd
-from fleetwatt.llm import line_dedup, quality, sharding, simhash, substring_dedup
+from fleetwatt.llm import jaccard, line_dedup, quality, sharding, simhash, substring_dedup
 
 NO_ID = -(2**63)
 
@@ -127,6 +128,51 @@ def test_components_of_a_chain(spark):
     assert got == {(i, 0) for i in range(1, 61)} | {(101, 100)}
 
 
+# near copies of the pipeline
+
+
+def _five(text) -> frozenset:
+    w = odd.words(odd.lowered(text))
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def _near_groups(texts: list) -> Sets:
+    sets, own = Sets(range(len(texts))), [_five(t) for t in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            if own[i] == own[j] or 5 * len(own[i] & own[j]) >= 4 * len(own[i] | own[j]):
+                sets.join(i, j)
+    return sets
+
+
+@pytest.mark.parametrize("tile", [2048, 3])
+def test_pipeline_near_copies_against_brute_force(spark, monkeypatch, tile):
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    rng = random.Random(31)
+    texts = ["", None, " ", "one two", "One  two", "one two three"]
+    for _ in range(12):  # a base and copies with 0 to 12 words of 300 changed, around similarity 0.8
+        base = [f"w{rng.randrange(3000)}" for _ in range(300)]
+        for changed in (0, 1, 3, 5, 6, 7, 8, 12):
+            copy = list(base)
+            for k in rng.sample(range(300), changed):
+                copy[k] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    chain = [f"c{i}" for i in range(400)]  # each is near the next, the ends are not near each other
+    texts += [" ".join(chain[k : k + 200]) for k in range(0, 200, 15)]
+    rng.shuffle(texts)
+    sets = _near_groups(texts)
+    want = sorted(i for i in range(len(texts)) if sets.find(i) == i)
+    got = corpus_pipeline.near_dedup(spark, odd.plain(spark, texts), "")
+    assert sorted(r.doc_id for r in got.collect()) == want
+
+
+def test_near_copies_odd_table(spark):
+    got = jaccard.near_copies(odd.table(spark)).collect()
+    assert sorted(_key(r.doc_id) for r in got) == sorted(_key(r[0]) for r in odd.rows())
+    assert jaccard.one_of_each(odd.table(spark)).columns == odd.table(spark).columns
+    assert jaccard.near_copies(odd.empty(spark)).count() == 0
+
+
 # sharding
 
 
