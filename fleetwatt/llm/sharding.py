@@ -4,6 +4,8 @@ Documents start in hashed shards.  Equal texts are linked; their link is one row
 group and shard, never a pair.  Each round a group's documents want to move to the
 shard that holds most of them and has room, as many as its quota admits, in the order of
 a hash that keeps a group together (documents of a large group are admitted one by one).
+Where a small group's main shard is full, its documents there follow if the whole group
+is admitted.  Every move gathers its group further, so rounds end: when nothing moves.
 A shard's quota is its even share less the linked documents it holds: unlinked ones give
 way.  At last shards above their exact share give their surplus, unlinked documents
 first, to those below.  Ranks are distributed: a count per shard and hash range, offsets over that
@@ -18,7 +20,6 @@ from pyspark.sql import functions as F
 from fleetwatt.llm.common import column, id_back, id_key, settled
 
 SHARDS = 24
-ROUNDS = 4
 #: Documents of larger groups are admitted by themselves, those of smaller ones together.
 TOGETHER = 256
 #: Hash ranges of a shard, as a power of two; a range is ranked by one task.
@@ -51,24 +52,29 @@ def _look(values: list[int], key: str) -> Column:
     return F.element_at(F.array(*[F.lit(int(v)).cast("long") for v in values]), F.col(key) + 1)
 
 
-def _round(now: DataFrame, shards: int, share: int) -> DataFrame:
-    """Move linked documents to the shard that holds most of their group and has room."""
+def _round(now: DataFrame, shards: int, share: int, nth: int) -> DataFrame:
+    """Move linked documents to the shard that holds most of their group and has room; ``_moved`` tells which."""
     linked = now.where("_linked > 1")
     quota = [max(0, share - n) for n in _counts(linked, "_shard", shards)]
     open_shard = _look(quota, "_shard") > 0
     votes = linked.groupBy("_group", "_shard").agg(F.count(F.lit(1)).alias("_n"))
     ranked = F.struct(F.col("_n"), F.xxhash64("_group", "_shard").alias("_h"), F.col("_shard").alias("_s"))
-    wish = votes.groupBy("_group").agg(F.max(ranked).alias("_best"), F.max(F.when(open_shard, ranked)).alias("_open"))
-    # who is not in the group's main shard goes there if it has room, else to the group's best shard that has
-    wish = wish.select("_group", F.col("_best._s").alias("_main"), F.col("_open._s").alias("_aim"), F.col("_open._n").alias("_at_aim"))
+    wish = votes.groupBy("_group").agg(F.max(F.when(open_shard, ranked)).alias("_open"))
+    # the group's main shard if it has room, else its best one that has
+    wish = wish.select("_group", F.col("_open._s").alias("_aim"), F.col("_open._n").alias("_at_aim"))
     mine = linked.join(wish, "_group").join(votes.select("_group", "_shard", "_n"), ["_group", "_shard"])
-    mine = mine.where((F.col("_shard") != F.col("_main")) & F.col("_aim").isNotNull() & (F.col("_shard") != F.col("_aim")))
-    mine = mine.where(F.struct("_n", F.xxhash64("_group", "_shard")) < F.struct("_at_aim", F.xxhash64("_group", "_aim")))
-    together = F.when(F.col("_linked") > TOGETHER, F.xxhash64("_row", F.lit(5))).otherwise(F.xxhash64("_group", F.lit(5)))
-    movers = mine.select("_row", "_aim", _positive(together).alias("_order"))
+    mine = mine.where(F.col("_aim").isNotNull() & (F.col("_shard") != F.col("_aim")))
+    # documents of a fuller shard that is closed only follow, behind all others
+    follows = F.struct("_n", F.xxhash64("_group", "_shard")) > F.struct("_at_aim", F.xxhash64("_group", "_aim"))
+    mine = mine.withColumn("_follows", follows).where(~F.col("_follows") | (F.col("_linked") <= TOGETHER))
+    together = F.when(F.col("_linked") > TOGETHER, F.xxhash64("_row", F.lit(5))).otherwise(F.xxhash64("_group", F.lit(5 + nth)))
+    order = F.shiftrightunsigned(together, 2) + F.when(F.col("_follows"), F.lit(2**62)).otherwise(F.lit(0))
+    movers = mine.select("_row", "_group", "_linked", "_at_aim", "_aim", "_follows", order.alias("_order"))
     movers = _ranked(movers, "_aim", "_order", "_row", "_rank")
-    admitted = movers.where(F.col("_rank") < _look(quota, "_aim")).select("_row", "_aim")
-    moved = now.join(admitted, "_row", "left")
+    fits = movers.where(F.col("_rank") < _look(quota, "_aim"))
+    whole = fits.where(F.col("_linked") <= TOGETHER).groupBy("_group").agg((F.count(F.lit(1)) + F.first("_at_aim") == F.first("_linked")).alias("_whole"))
+    admitted = fits.join(whole, "_group", "left").where("not _follows or _whole").select("_row", "_aim")
+    moved = now.join(admitted, "_row", "left").withColumn("_moved", F.col("_aim").isNotNull())
     return settled(moved.withColumn("_shard", F.coalesce("_aim", "_shard")).drop("_aim"))
 
 
@@ -96,7 +102,7 @@ def _evened(now: DataFrame, shards: int, total: int) -> DataFrame:
     return moved.withColumn("_shard", F.coalesce("_aim", "_shard")).drop("_aim")
 
 
-def shards_of(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shards_of(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The shard and slot of every document under the law ``rows``.
 
     Returns the id, ``size`` (UTF-8 bytes of the text plus 8), ``text_crc32``, ``law``,
@@ -123,8 +129,11 @@ def shards_of(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, id_co
     start = F.pmod(F.xxhash64("_id", "_row", F.lit(1)), F.lit(shards)).cast("int")
     now = own.select("_row", "_group").join(groups, "_group").join(own.select("_row", "_id"), "_row")
     now = settled(now.select("_row", "_group", "_linked", start.alias("_shard"), start.alias("_start")))
-    for _ in range(rounds):
-        now = _round(now, shards, total // shards)
+    nth, moving = 0, True
+    while moving:
+        now = _round(now, shards, total // shards, nth)
+        moving = not now.where("_moved").isEmpty()
+        now, nth = now.drop("_moved"), nth + 1
     now = _evened(now, shards, total)
     slots = _ranked(now.withColumn("_order", _positive(F.xxhash64("_row", F.lit(13)))), "_shard", "_order", "_row", "slot")
     out = own.drop("_group").join(slots, "_row")

@@ -213,6 +213,17 @@ def test_sharding_keeps_linked_documents_together(spark):
     assert _cut(small, "shard") <= 0.1 * _cut(small, "start_shard")
 
 
+def test_sharding_gathers_a_group_of_many_shards(spark):
+    rng = random.Random(9)
+    texts = ["hot"] * 2400 + [f"pair {i // 2}" for i in range(1200)] + [odd.prose(rng, 6) + str(i) for i in range(3600)]
+    rows = sharding.shards_of(odd.plain(spark, texts), 24).collect()
+    _check_shards(rows, list(enumerate(texts)), 24)
+    hot = Counter(r.shard for r in rows if r.linked == 2400)  # 300 documents a shard
+    assert sum(n for _, n in hot.most_common(8)) > 0.8 * 2400
+    pairs = [r for r in rows if r.linked == 2]
+    assert _cut(pairs, "shard") <= 0.1 * _cut(pairs, "start_shard")
+
+
 # line dedup
 
 
