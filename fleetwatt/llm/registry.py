@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetwatt.llm import langid, line_dedup, lm, packing, quality, sentencepiece, sharding, simhash, substring_dedup, topk
+from fleetwatt.llm import (
+    chat,
+    langid,
+    line_dedup,
+    lm,
+    manifest,
+    packing,
+    quality,
+    sentencepiece,
+    sharding,
+    simhash,
+    substring_dedup,
+    topk,
+)
 from fleetwatt.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +40,8 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": _ready(quality.op8_quality_rules),
     "op9_substring_dedup": _ready(substring_dedup.op9_substring_dedup),
     "op10_lm_scoring": _ready(lm.op10_lm_scoring),
+    "op12_merkle_manifest": _ready(manifest.op12_merkle_manifest),
+    "op13_chat_formatting": _ready(chat.op13_chat_formatting),
 }
 
 ORACLES: dict[str, str] = {
@@ -34,4 +49,6 @@ ORACLES: dict[str, str] = {
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op8_quality_rules": quality.OP8_SQL,
     "op9_substring_dedup": substring_dedup.OP9_SQL,
+    "op12_merkle_manifest": manifest.OP12_SQL,
+    "op13_chat_formatting": chat.OP13_SQL,
 }
