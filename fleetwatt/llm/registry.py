@@ -13,6 +13,7 @@ from fleetwatt.llm import (
     lm,
     manifest,
     packing,
+    phrases,
     quality,
     sentencepiece,
     sharding,
@@ -40,6 +41,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": _ready(quality.op8_quality_rules),
     "op9_substring_dedup": _ready(substring_dedup.op9_substring_dedup),
     "op10_lm_scoring": _ready(lm.op10_lm_scoring),
+    "op11_phrase_collocations": _ready(phrases.op11_phrase_collocations),
     "op12_merkle_manifest": _ready(manifest.op12_merkle_manifest),
     "op13_chat_formatting": _ready(chat.op13_chat_formatting),
 }
@@ -49,6 +51,7 @@ ORACLES: dict[str, str] = {
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op8_quality_rules": quality.OP8_SQL,
     "op9_substring_dedup": substring_dedup.OP9_SQL,
+    "op11_phrase_collocations": phrases.OP11_SQL,
     "op12_merkle_manifest": manifest.OP12_SQL,
     "op13_chat_formatting": chat.OP13_SQL,
 }
