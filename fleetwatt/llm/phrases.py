@@ -1,16 +1,18 @@
 """Phrase collocation mining by Rabin-Karp fingerprints.
 
-Documents are dealt once into blocks.  A block hashes every n-gram of its pieces with one
-running polynomial (numpy prefix sums) and sends, packed, each distinct fingerprint with
-its count to a part.  Its block and its place in the block's list are the pointer to its
-occurrences; parts add up counts and answer each pointer with one bit: frequent or not.
+Each task numbers the words of its texts and packs them into blocks; blocks are shuffled
+once and read by three passes, which do not meet the texts again.  A block hashes every
+n-gram of its pieces with a running polynomial (numpy prefix sums) and sends, packed, each
+distinct fingerprint with its count and a check, 32 bits of a second polynomial, to a part.
+Its block and its place in the block's list are the pointer to its occurrences.  Parts add
+up counts and answer each pointer: frequent or not, and whether its block shall show the text.
 
 First words and word pairs are counted, then triples and quadruples, but only those all
-of whose pairs are frequent (a phrase is never more frequent than its parts).  Blocks then
-look at the text behind each pointer whose fingerprint is frequent: occurrences are told
-apart by their words, so phrases that share a fingerprint become different rows, and
-Spark adds up the counts of the texts themselves.  Fingerprints therefore only decide
-what is materialised, and the counts are exact.
+of whose pairs are frequent (a phrase is never more frequent than its parts).  A frequent
+phrase is shown by the first of its pointers, with its count.  Where checks differ, phrases
+share a fingerprint: then every block with it looks at the words themselves and shows what
+it has, and Spark adds up by text.  So phrases are taken for one another only if 64 bits of
+one polynomial, 32 of another and the part agree.
 
 Scores, the longer phrases that contain a candidate, and the ranks are DataFrame joins
 over frequent phrases.
@@ -20,10 +22,13 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,24 +55,50 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+class _Ids(dict):
+    """word → number, given on first sight."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = len(self)
+        return value
+
+
+class Block:
+    """Texts as word numbers, gathered in a task until they are a block."""
+
+    def __init__(self) -> None:
+        self.known, self.langs = _Ids({_END: 0}), _Ids()
+        self.lang: list[int] = []
+        self.walks: list[np.ndarray] = []
+        self.bytes = 0
+
+    def add(self, lang: str, text: bytes) -> None:
+        words = text.lower().translate(_TABLE).replace(_END, b" \xff ").split()
+        words.append(_END)
+        self.walks.append(np.fromiter(map(self.known.__getitem__, words), np.uint32, len(words)))
+        self.lang.append(self.langs[lang])
+        self.bytes += len(text)
+
+    def row(self, number: int) -> pa.RecordBatch:
+        sizes = np.fromiter(map(len, self.walks), np.int64, len(self.walks))
+        packed = [np.array(self.lang, np.uint32).tobytes(), sizes.tobytes(), np.concatenate(self.walks).tobytes(), b" ".join(self.known)]
+        arrays = [pa.array([number], pa.int64()), pa.array([list(self.langs)], pa.list_(pa.string())), *[pa.array([x], pa.binary()) for x in packed]]
+        return pa.RecordBatch.from_arrays(arrays, names=["_block", "_langs", "_lang", "_sizes", "_at", "_words"])
+
+
+BLOCK = "_block long, _langs array<string>, _lang binary, _sizes binary, _at binary, _words binary"
+
+
 class Grams:
     """The words of a block's texts in one line, and the fingerprints of its n-grams."""
 
-    def __init__(self, langs: list[str], texts: list[bytes], bits: int = 64):
+    def __init__(self, block: pd.DataFrame, bits: int = 64):
+        row = block.iloc[0]
+        self.langs, self.words = list(row["_langs"]), row["_words"].split(b" ")
+        self.at = np.frombuffer(row["_at"], np.uint32).astype(np.int64)
+        self.lang = np.repeat(np.frombuffer(row["_lang"], np.uint32).astype(np.int64), np.frombuffer(row["_sizes"], np.int64))
         self._cut = np.uint64(64 - bits)
-        known: dict[bytes, int] = {_END: 0}
-        ends = np.zeros(1, np.int64)
-        walks, sizes = [], []
-        for t in texts:
-            words = t.lower().translate(_TABLE).replace(_END, b" \xff ").split()
-            walks += [np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words)), ends]
-            sizes.append(len(words) + 1)
-        self.words = list(known)
-        self.at = np.concatenate(walks) if walks else ends[:0]
-        self.langs = sorted(set(langs))
-        place = {x: i for i, x in enumerate(self.langs)}
-        self.lang = np.repeat(np.fromiter((place[x] for x in langs), np.int64, len(langs)), sizes)
-        word = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known))
+        word = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
         seed = np.fromiter((xxhash.xxh64_intdigest(x, 1) for x in self.langs), np.uint64, len(self.langs))
         n = len(self.at)
         # prefix polynomial: total[i] = sum of h[j] * base**j over j < i, modulo 2**64
@@ -79,10 +110,12 @@ class Grams:
         self._down = down
         self._total = np.zeros(n + 1, np.uint64)
         np.cumsum(word[self.at] * up[:n], out=self._total[1:])
+        self._other = np.zeros(n + 1, np.uint64)
+        np.cumsum(_mixed(word)[self.at] * up[:n], out=self._other[1:])
         self._seed = seed
         # words left until the end of the piece, this one included
         stop = np.flatnonzero(self.at == 0)
-        self.left = np.repeat(stop, np.diff(stop, prepend=-1)) - np.arange(n) if n else stop
+        self.left = np.repeat(stop, np.diff(stop, prepend=-1)) - np.arange(n)
 
     def starts(self, n: int) -> np.ndarray:
         return np.flatnonzero(self.left >= n)
@@ -92,9 +125,24 @@ class Grams:
         h = (self._total[starts + n] - self._total[starts]) * self._down[starts]
         return _mixed(h + self._seed[self.lang[starts]] * np.uint64(2 * n + 1)) >> self._cut
 
-    def distinct(self, n: int, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted distinct fingerprints and their counts."""
-        return np.unique(self.prints(n, starts), return_counts=True)
+    def checks(self, n: int, starts: np.ndarray) -> np.ndarray:
+        """Another 32 bits, never 0."""
+        h = (self._other[starts + n] - self._other[starts]) * self._down[starts]
+        return (_mixed(h ^ self._seed[self.lang[starts]]) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+
+    def distinct(self, n: int, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Sorted distinct fingerprints, their checks (0 where these differ), counts, and starts of first occurrences."""
+        keys, first, at, counts = np.unique(self.prints(n, starts), return_index=True, return_inverse=True, return_counts=True)
+        each = self.checks(n, starts)
+        checks = each[first]
+        checks[at[each != checks[at]]] = 0
+        return keys, checks, counts, starts[first]
+
+    def vocabulary(self) -> tuple[np.ndarray, np.ndarray]:
+        """A start of each (language, word), and its count."""
+        starts = self.starts(1)
+        first, counts = np.unique(self.lang[starts] * len(self.words) + self.at[starts], return_index=True, return_counts=True)[1:]
+        return starts[first], counts
 
     def frequent(self, n: int, starts: np.ndarray, prints: np.ndarray) -> np.ndarray:
         """The starts whose fingerprint is among the sorted ``prints``."""
@@ -113,49 +161,55 @@ class Grams:
             starts = starts[on[starts + k]]
         return starts
 
-    def texts(self, n: int, starts: np.ndarray) -> tuple[list[str], list[str], np.ndarray]:
-        """Language, text and count of the distinct n-grams that start there, told apart by their words."""
+    def named(self, n: int, starts: np.ndarray) -> tuple[list[str], list[str]]:
+        """Language and text of the n-grams that start there."""
+        words = [list(map(self.words.__getitem__, self.at[starts + k].tolist())) for k in range(n)]
+        return [self.langs[i] for i in self.lang[starts].tolist()], [b" ".join(x).decode() for x in zip(*words)]
+
+    def by_words(self, n: int, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A start of each distinct n-gram there, told apart by language and words, and its count."""
         rows = np.stack([self.lang[starts], *(self.at[starts + k] for k in range(n))], axis=1)
         order = np.lexsort(rows.T[::-1])
         rows = rows[order]
-        new = np.append(True, (rows[1:] != rows[:-1]).any(axis=1)) if len(rows) else np.zeros(0, bool)
-        begin = np.flatnonzero(new)
-        counts = np.diff(np.append(begin, len(rows)))
-        kinds = rows[begin].tolist()
-        words = self.words
-        return [self.langs[r[0]] for r in kinds], [b" ".join([words[i] for i in r[1:]]).decode() for r in kinds], counts
+        begin = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]).any(axis=1))) if len(rows) else order
+        return starts[order][begin], np.diff(np.append(begin, len(rows)))
 
 
-def _packed(part: np.ndarray, parts: int, keys: np.ndarray, counts: np.ndarray):
-    """Keys in part order: (part, keys, counts) for each part that has some."""
+def _by_part(part: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys by part, and where each part begins in it."""
     order = np.argsort(part.astype(np.uint16) if parts <= 2**16 else part, kind="stable")
-    keys, counts = keys[order], counts[order].astype(np.uint32)
-    cuts = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
+    return order, np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
+
+
+def _packed(parts: int, keys: np.ndarray, checks: np.ndarray, counts: np.ndarray) -> Iterator[tuple]:
+    """Part, keys, checks and counts for each part that has some."""
+    order, cuts = _by_part(_part(keys, parts), parts)
+    keys, checks, counts = keys[order], checks[order], counts[order].astype(np.uint32)
     for p in np.flatnonzero(np.diff(cuts)):
         a, b = cuts[p], cuts[p + 1]
-        yield int(p), keys[a:b].tobytes(), zlib.compress(counts[a:b].tobytes(), 1)
+        yield int(p), keys[a:b].tobytes(), checks[a:b].tobytes(), zlib.compress(counts[a:b].tobytes(), 1)
 
 
 def _part(keys: np.ndarray, parts: int) -> np.ndarray:
     return (_mixed(keys) % np.uint64(parts)).astype(np.int64)
 
 
-def _chosen(answers: pd.DataFrame, n: int, keys: np.ndarray, parts: int) -> np.ndarray:
-    """The frequent ones of a block's sorted keys, by the bits that came back in part order."""
-    part = _part(keys, parts)
-    order = np.argsort(part.astype(np.uint16) if parts <= 2**16 else part, kind="stable")
-    cuts = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
-    on = np.zeros(len(keys), bool)
+def _answered(answers: pd.DataFrame, n: int, keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the keys that a block sent: whether frequent, whether to show, and the count to show (0: the block's own)."""
+    order, cuts = _by_part(_part(keys, parts), parts)
+    often, show, sums = np.zeros(len(keys), bool), np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
     mine = answers[answers["_n"] == n]
-    for p, bits in zip(mine["_part"], mine["_bits"]):
-        on[order[cuts[p] : cuts[p + 1]]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=int(cuts[p + 1] - cuts[p])).astype(bool)
-    return keys[on]
+    for p, bits, shown, total in zip(mine["_part"], mine["_often"], mine["_show"], mine["_sums"]):
+        at = order[cuts[p] : cuts[p + 1]]
+        often[at] = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(at)).astype(bool)
+        show[at] = np.unpackbits(np.frombuffer(shown, np.uint8), count=len(at)).astype(bool)
+        sums[at[show[at]]] = np.frombuffer(total, np.int64)
+    return often, show, sums
 
 
 def phrase_counts(
     docs: DataFrame,
     least: int = LEAST,
-    id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
     block_mb: float = 8.0,
@@ -169,78 +223,104 @@ def phrase_counts(
     Null texts are empty, rows without a language count as ``und``, repeated rows count
     each, whatever their ids (which may be null).  Texts without words add nothing.  An
     empty table gives an empty table; other columns are not read.  Fingerprints of fewer
-    ``bits`` give the same counts with more to verify.
+    ``bits`` give the same counts with more to verify.  The rows of each partition must
+    come in the same order if it is read again, as those of files do.
     """
     spark = docs.sparkSession
-    # copies of a text have other ids, and repeated rows come from many partitions, so they fall into many blocks
-    keyed = docs.select(
-        F.coalesce(column(lang_col).cast("string"), F.lit("und")).alias("_lang"),
-        text_bytes(text_col).alias("_text"),
-        F.xxhash64(column(id_col), column(text_col), F.spark_partition_id()).alias("_place"),
-    )
-    total = keyed.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    narrow = docs.select(F.coalesce(column(lang_col).cast("string"), F.lit("und")).alias("_lang"), text_bytes(text_col).alias("_text"))
+    total = narrow.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     few = 2 * spark.sparkContext.defaultParallelism
     blocks, parts = max(few, math.ceil(total / (block_mb * 1e6))), max(few, math.ceil(total / (part_mb * 1e6)))
-    dealt = keyed.withColumn("_block", F.pmod("_place", F.lit(blocks)).cast("int")).drop("_place").repartition(blocks, "_block")
 
-    def in_order(block: pd.DataFrame) -> Grams:
-        block = block.sort_values(["_lang", "_text"], kind="stable", ignore_index=True)
-        return Grams(list(block["_lang"]), list(block["_text"]), bits)
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, block = TaskContext.get().partitionId() << 32, Block()
+        for b in batches:
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                block.add(lang, text)
+                if block.bytes >= block_mb * 1e6:
+                    yield block.row(number)
+                    number, block = number + 1, Block()
+        if block.walks:
+            yield block.row(number)
+
+    dealt = narrow.mapInArrow(gather, BLOCK).repartition(blocks, "_block")
 
-    def sent(block: int, n: int, keys: np.ndarray, counts: np.ndarray) -> list[tuple]:
-        return [(p, block, n, k, c) for p, k, c in _packed(_part(keys, parts), parts, keys, counts)]
+    def sent(block: int, n: int, keys: np.ndarray, checks: np.ndarray, counts: np.ndarray) -> list[tuple]:
+        return [(p, block, n, *packed) for p, *packed in _packed(parts, keys, checks, counts)]
 
     def table(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=["_part", "_block", "_n", "_keys", "_counts"]).astype({"_part": "int32", "_block": "int32", "_n": "int32"})
+        out = pd.DataFrame(rows, columns=["_part", "_block", "_n", "_keys", "_checks", "_counts"])
+        return out.astype({"_part": "int32", "_block": "int64", "_n": "int32"})
 
     def short(block: pd.DataFrame) -> pd.DataFrame:
-        grams, b = in_order(block), int(block["_block"].iat[0])
-        rows = []
-        for n in (1, 2):
-            keys, counts = grams.distinct(n, grams.starts(n))
-            rows += sent(b, n, keys, counts)
-        return table(rows)
+        grams, b = Grams(block, bits), int(block["_block"].iat[0])
+        starts, counts = grams.vocabulary()
+        rows = sent(b, 1, grams.prints(1, starts), grams.checks(1, starts), counts)
+        return table(rows + sent(b, 2, *grams.distinct(2, grams.starts(2))[:3]))
 
     def answer(part: pd.DataFrame) -> pd.DataFrame:
         each = [np.frombuffer(x, np.uint64) for x in part["_keys"]]
-        n = np.concatenate([np.frombuffer(zlib.decompress(x), np.uint32) for x in part["_counts"]])
-        _, at = np.unique(np.concatenate(each), return_inverse=True)
-        often = (np.bincount(at, weights=n) >= least)[at]
+        checks = np.concatenate([np.frombuffer(x, np.uint32) for x in part["_checks"]])
+        counts = np.concatenate([np.frombuffer(zlib.decompress(x), np.uint32) for x in part["_counts"]])
         cuts = np.cumsum([0, *map(len, each)])
-        packed = [np.packbits(often[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])]
-        return pd.DataFrame({"_part": part["_part"], "_block": part["_block"], "_n": part["_n"], "_bits": packed})
-
-    def pairs_of(grams: Grams, answers: pd.DataFrame) -> np.ndarray:
-        starts = grams.starts(2)
-        keys = np.unique(grams.prints(2, starts))
-        return grams.frequent(2, starts, _chosen(answers, 2, keys, parts))
+        keys, first, at = np.unique(np.concatenate(each), return_index=True, return_inverse=True)
+        total = np.bincount(at, weights=counts).astype(np.int64)
+        often = (total >= least)[at]
+        clash = np.zeros(len(keys), bool)
+        clash[at[(checks != checks[first][at]) | (checks == 0)]] = True
+        show = clash[at]
+        show[first] = True
+        show &= often
+        sums = np.where(clash, 0, total)[at]
+        spans = list(zip(cuts, cuts[1:]))
+        return pd.DataFrame(
+            {
+                "_part": part["_part"],
+                "_block": part["_block"],
+                "_n": part["_n"],
+                "_often": [np.packbits(often[a:b]).tobytes() for a, b in spans],
+                "_show": [np.packbits(show[a:b]).tobytes() for a, b in spans],
+                "_sums": [sums[a:b][show[a:b]].tobytes() for a, b in spans],
+            }
+        )
 
     def extend(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        grams, b = in_order(block), int(block["_block"].iat[0])
-        pairs, rows = pairs_of(grams, answers), []
+        grams, b = Grams(block, bits), int(block["_block"].iat[0])
+        starts, rows = grams.starts(2), []
+        keys = np.unique(grams.prints(2, starts))
+        pairs = grams.frequent(2, starts, keys[_answered(answers, 2, keys, parts)[0]])
         for n in range(3, LONGEST + 1):
-            keys, counts = grams.distinct(n, grams.longer(n, pairs))
-            rows += sent(b, n, keys, counts)
+            rows += sent(b, n, *grams.distinct(n, grams.longer(n, pairs))[:3])
         return table(rows)
 
+    def frame(n: int, langs: list[str], texts: list[str], counts) -> pd.DataFrame:
+        return pd.DataFrame({"lang": langs, "n_gram": n, "phrase": texts, "f": counts})
+
     def look(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        grams = in_order(block)
-        pairs, rows = pairs_of(grams, answers), []
-        for lang, words in zip(grams.langs, np.bincount(grams.lang, weights=grams.at > 0, minlength=len(grams.langs))):
-            rows.append(pd.DataFrame({"lang": [lang], "n_gram": [0], "phrase": [""], "f": [int(words)]}))
-        for n in range(1, LONGEST + 1):
-            starts = pairs
-            if n != 2:
-                starts = grams.starts(1) if n == 1 else grams.longer(n, pairs)
-                starts = grams.frequent(n, starts, _chosen(answers, n, np.unique(grams.prints(n, starts)), parts))
-            lang, phrase, counts = grams.texts(n, starts)
-            rows.append(pd.DataFrame({"lang": lang, "n_gram": n, "phrase": phrase, "f": counts}))
+        grams, rows = Grams(block, bits), []
+        words = np.bincount(grams.lang, weights=grams.at > 0, minlength=len(grams.langs))
+        rows.append(frame(0, grams.langs, [""] * len(words), words.astype(np.int64)))
+        starts, counts = grams.vocabulary()
+        _, show, sums = _answered(answers, 1, grams.prints(1, starts), parts)
+        rows.append(frame(1, *grams.named(1, starts[show]), np.where(sums > 0, sums, counts)[show]))
+        pairs = starts[:0]
+        for n in range(2, LONGEST + 1):
+            starts = grams.starts(2) if n == 2 else grams.longer(n, pairs)
+            keys, _, _, pointer = grams.distinct(n, starts)
+            often, show, sums = _answered(answers, n, keys, parts)
+            if n == 2:
+                pairs = grams.frequent(2, starts, keys[often])
+            clear = show & (sums > 0)
+            rows.append(frame(n, *grams.named(n, pointer[clear]), sums[clear]))
+            if (clash := show & ~clear).any():
+                pointer, counts = grams.by_words(n, grams.frequent(n, starts, keys[clash]))
+                rows.append(frame(n, *grams.named(n, pointer), counts))
         return pd.concat(rows).astype({"n_gram": "int32", "f": "int64"})
 
-    message = "_part int, _block int, _n int, _keys binary, _counts binary"
+    message = "_part int, _block long, _n int, _keys binary, _checks binary, _counts binary"
 
     def asked(rows: DataFrame) -> DataFrame:
-        return rows.repartition(parts, "_part").groupBy("_part").applyInPandas(answer, "_part int, _block int, _n int, _bits binary")
+        return rows.repartition(parts, "_part").groupBy("_part").applyInPandas(answer, "_part int, _block long, _n int, _often binary, _show binary, _sums binary")
 
     def beside(answers: DataFrame, step, schema: str) -> DataFrame:
         return dealt.groupBy("_block").cogroup(answers.groupBy("_block")).applyInPandas(step, schema)
@@ -262,7 +342,6 @@ def collocations(
     share: int = SHARE,
     scale: int = SCALE,
     top: int = TOP,
-    id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
 ) -> DataFrame:
@@ -277,7 +356,7 @@ def collocations(
     Nulls, empty and repeated rows: as in ``phrase_counts``.  A language without phrases
     has no rows.
     """
-    counts = materialise(phrase_counts(docs, least, id_col, text_col, lang_col), "phrase-counts")
+    counts = materialise(phrase_counts(docs, least, text_col, lang_col), "phrase-counts")
     grams = counts.where(F.col("n_gram") > 0)
     phrases = grams.where(F.col("n_gram") > 1).select("lang", "phrase", "n_gram", F.col("f").alias("a"), F.split("phrase", " ").alias("_words"))
     cuts = phrases.select("*", F.explode(F.sequence(F.lit(1), F.col("n_gram") - 1)).alias("_k"))
