@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,10 @@ from fleetwatt.session import ensure_checkpoint_dir
 AR_FEATURES = [f"demand_lag_{k}" for k in LAGS]
 TIME_FEATURES = ["hour_sin", "hour_cos", "is_weekend"]
 ROWS_PER_TASK = 50_000
+#: Newest days of each series' training rows that tell when to stop boosting.
+TAIL_DAYS = 4
+#: Model fits that run at a time.
+WORKERS = 4
 
 
 def fit_gbt(
@@ -33,16 +39,24 @@ def fit_gbt(
     columns: float = 0.8,
     seed: int = 42,
     validation: str | None = None,
+    leaf_rows: int = 1,
 ) -> GBTRegressionModel:
     """Squared-error boosting on ``label`` and ``features``.
 
-    ``validation`` names a boolean column whose rows stop the boosting early.  Long
-    boosting runs cut their lineage in the checkpoint folder of the session.  Each level
+    ``validation`` names a boolean column; its rows are not fitted but tell when to stop:
+    the boosting ends after the first round that does not lower their error, and the model
+    is the one of the best round (``model.getNumTrees``), at most ``trees``.  Both kinds of
+    rows must be there.  The first tree counts in full and there is no L2 term on leaves,
+    so on few rows ``leaf_rows``, the least rows of a leaf, decides how far it fits noise.  Long boosting runs cut their lineage in the checkpoint folder of the session.  Each level
     of each tree is a job over the cached rows, so they are held in partitions of
     ``ROWS_PER_TASK`` rows: a small table then costs no more than one short task a level.
     """
     ensure_checkpoint_dir(rows.sparkSession)
-    rows = rows.repartition(max(1, math.ceil(rows.count() / ROWS_PER_TASK))).persist(StorageLevel.MEMORY_AND_DISK)
+    held = F.count_if(F.col(validation)) if validation else F.lit(0)
+    count, tail = rows.agg(F.count(F.lit(1)), held).first()
+    if validation and not 0 < tail < count:
+        raise ValueError(f"{tail} of {count} rows are there to stop the boosting")
+    rows = rows.repartition(max(1, math.ceil(count / ROWS_PER_TASK))).persist(StorageLevel.MEMORY_AND_DISK)
     gbt = GBTRegressor(
         maxIter=trees,
         stepSize=rate,
@@ -52,6 +66,8 @@ def fit_gbt(
         seed=seed,
         checkpointInterval=10,
         cacheNodeIds=True,
+        validationTol=0.0,
+        minInstancesPerNode=leaf_rows,
     )
     try:
         return (gbt.setValidationIndicatorCol(validation) if validation else gbt).fit(rows)
@@ -90,6 +106,87 @@ def split_by_end(df: DataFrame, days: int = 7, keys: Sequence[str] = (KEY,), tim
     return marked.where(F.col(time) < cut).drop("_end"), marked.where(F.col(time) >= cut).drop("_end")
 
 
+def with_tail(train: DataFrame, days: int = TAIL_DAYS, keys: Sequence[str] = (KEY,), time: str = TIME) -> DataFrame:
+    """Add ``in_tail``: whether a row is of the newest ``days`` of its series, for early stopping."""
+    cut = F.col("_end") - F.expr(f"INTERVAL {int(days)} DAY")
+    return with_end(train, keys, time).withColumn("in_tail", F.col(time) > cut).drop("_end")
+
+
+def fold_table(rows: DataFrame, folds: DataFrame, keys: Sequence[str] = (KEY,), time: str = TIME) -> DataFrame:
+    """Rows with the folds as columns, so that all fits read one table.
+
+    ``tested`` is the fold whose day a row is of, ``trains_from`` the first fold that may
+    learn from it (both null for none): a row before the day of a fold is before the days
+    of all later ones.  ``starts`` has the fold days of the series, oldest first.
+    """
+    days = folds.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("fold", "start"))).alias("starts"))  # a few days per series
+    t = F.col(time)
+    later_days = F.filter("starts", lambda s: s["start"] > t)
+    same_day = F.filter("starts", lambda s: (s["start"] <= t) & (t < s["start"] + F.expr("INTERVAL 1 DAY")))
+    return rows.join(days, list(keys)).withColumns({"trains_from": F.get(later_days, F.lit(0))["fold"], "tested": F.get(same_day, F.lit(0))["fold"]})
+
+
+def _of_fold(table: DataFrame, fold: int, tail_days: int, time: str) -> DataFrame:
+    """Training rows of a fold with ``in_tail``; series without that fold have none."""
+    start = F.get(F.filter("starts", lambda s: s["fold"] == fold), F.lit(0))["start"]
+    tail = F.col(time) >= start - F.expr(f"INTERVAL {int(tail_days)} DAY")
+    return table.where((F.col("trains_from") <= fold) & start.isNotNull()).withColumn("in_tail", tail)
+
+
+def fold_training_rows(table: DataFrame, tail_days: int = TAIL_DAYS, keys: Sequence[str] = (KEY,), time: str = TIME) -> DataFrame:
+    """What each fold learns from, per series: its rows, the newest of them, and how many stop the boosting."""
+    marked = table.select(*keys, time, "trains_from", F.explode("starts").alias("_f")).where(F.col("trains_from") <= F.col("_f.fold"))
+    tail = F.col(time) >= F.col("_f.start") - F.expr(f"INTERVAL {int(tail_days)} DAY")
+    return marked.groupBy(*keys, F.col("_f.fold").alias("fold")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max(time).alias("newest"), F.count_if(tail).alias("tail_rows")
+    )
+
+
+def together(spark, jobs: Sequence[Callable[[], object]], workers: int = WORKERS) -> list:
+    """Results of several model fits, at most ``workers`` at a time.
+
+    Each fit runs small jobs one after the other; from threads of their own the jobs of
+    several fits share the executors, evenly with ``spark.scheduler.mode`` FAIR.
+    """
+
+    def pooled(k: int, job: Callable[[], object]) -> object:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{k % workers}")
+        return job()
+
+    with ThreadPoolExecutor(workers) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(lambda k=k, job=job: pooled(k, job))) for k, job in enumerate(jobs)]
+        return [w.result() for w in waiting]
+
+
+def fold_forecasts(
+    table: DataFrame,
+    numbers: Sequence[int],
+    trees: int = 600,
+    tail_days: int = TAIL_DAYS,
+    name: str = "GBT",
+    workers: int = WORKERS,
+    keys: Sequence[str] = (KEY,),
+    time: str = TIME,
+    **gbt,
+) -> tuple[DataFrame, dict[int, int]]:
+    """Walk-forward forecasts of a boosted model, refitted before every fold day of ``fold_table``.
+
+    Returns ``keys, model_name, fold, time, y_true, y_pred`` and the boosting rounds that
+    each fold kept.  A fold learns from the rows before its day, the newest ``tail_days`` of
+    which only stop the boosting.  The fits read one table and run concurrently.
+    """
+
+    def fit(fold: int) -> GBTRegressionModel:
+        return fit_gbt(_of_fold(table, fold, tail_days, time).select("label", "features", "in_tail"), trees, validation="in_tail", **gbt)
+
+    models = together(table.sparkSession, [lambda f=f: fit(f) for f in numbers], workers)
+    parts = [
+        predict(m, table.where(F.col("tested") == f), name, [*keys, "tested"], time).withColumnRenamed("tested", "fold") for f, m in zip(numbers, models)
+    ]
+    out = reduce(DataFrame.unionByName, parts)
+    return out.select(*keys, "model_name", "fold", time, "y_true", "y_pred"), {f: m.getNumTrees for f, m in zip(numbers, models)}
+
+
 def exog_comparison(
     df: DataFrame,
     target: str,

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fleetwatt import KEY, TIME
+from fleetwatt.operators.features import ml_dataset
 from fleetwatt.operators import arima, clean, coerce, decompose, features, folds, stats, storage, trees
 from fleetwatt.plans import fixtures as fx
-from fleetwatt.plans.forecast_queries import _gbt
+from fleetwatt.plans.forecast_queries import LEAF_ROWS, _gbt, _once, _stopped, rolling_days_2_7, rolling_forecast
 from fleetwatt.plans.registry import query
 from fleetwatt.plans.sqltext import sql
 from fleetwatt.session import materialise
@@ -72,7 +76,7 @@ def adf_short_series(spark, sf):
 def recursive_missing_history(spark, sf):
     """A series whose last hour is unknown keeps its 24 rows, without a forecast."""
     meter = materialise(fx.wide_filled(spark, sf))
-    model, _, _, _ = _gbt(spark, sf)
+    model, _ = _stopped(spark, sf)
     ends = meter.groupBy(KEY).agg(F.max(TIME).alias("_end"))
     one = meter.agg(F.min(KEY).alias("_one"))
     gap = (F.col(TIME) == F.col("_end")) & (F.col(KEY) == F.col("_one"))
@@ -81,10 +85,23 @@ def recursive_missing_history(spark, sf):
     return out.groupBy(KEY, "status").agg(F.count(F.lit(1)).alias("steps"), F.count("y_pred").alias("known"))
 
 
+def _seasonal(spark, sf):
+    """The filled wide table with a daily course in its demand, and a model stopped early on it."""
+
+    def build():
+        course = 2.0 * F.stddev_pop("Demand").over(Window.partitionBy(KEY)) * F.sin(F.hour(TIME) * (2 * math.pi / 24))
+        rows = trees.ar_frame(fx.wide_filled(spark, sf).withColumn("Demand", F.col("Demand") + course))
+        features = trees.AR_FEATURES + trees.TIME_FEATURES
+        train, test = trees.split_by_end(materialise(ml_dataset(rows.na.drop(subset=["Demand", *features]), "Demand", features)))
+        return trees.fit_gbt(trees.with_tail(train), 600, validation="in_tail", leaf_rows=LEAF_ROWS), train, test
+
+    return _once("seasonal", spark, sf, build)
+
+
 @query("gbt_skill", sql("select series_id, true as complete, true as beats_mean from W group by 1"))
 def gbt_skill(spark, sf):
-    """The boosted model predicts every hour of the test days, better than the training mean of the series."""
-    model, train, test, _ = _gbt(spark, sf)
+    """With a daily course to learn, every hour of the test days is predicted, better than by the training mean of the series."""
+    model, train, test = _seasonal(spark, sf)
     mean = train.groupBy(KEY).agg(F.avg("label").alias("_mean"))
     scored = trees.predict(model, test, "GBT").join(mean, KEY)
     return scored.groupBy(KEY).agg(
@@ -93,6 +110,52 @@ def gbt_skill(spark, sf):
     )
 
 
+@query("gbt_halves_error", sql("select series_id, true as halves_error from W group by 1"))
+def gbt_halves_error(spark, sf):
+    """On the daily course the model's squared error over the test days is less than half that of the training mean."""
+    model, train, test = _seasonal(spark, sf)
+    mean = train.groupBy(KEY).agg(F.avg("label").alias("_mean"))
+    scored = trees.predict(model, test, "GBT").join(mean, KEY)
+    gap = [F.avg(F.pow(F.col(c) - F.col("y_true"), F.lit(2.0))) for c in ("y_pred", "_mean")]
+    return scored.groupBy(KEY).agg((2 * gap[0] < gap[1]).alias("halves_error"))
+
+
+@query("early_stop_check", "select true as kept_some, true as best_of_curve, true as stopped_by_rise")
+def early_stop_check(spark, sf):
+    """The kept round is the best of the validation curve, and boosting went on until that curve rose or 600 rounds were done."""
+    model, train, _ = _seasonal(spark, sf)
+    tail = trees.with_tail(train).where("in_tail")
+    errors = model.evaluateEachIteration(tail, "squared")  # one number per kept round
+    falls = all(b < a for a, b in zip(errors, errors[1:]))
+    kept = model.getNumTrees
+    return spark.createDataFrame([(0 < kept <= 600, min(errors) == errors[-1], falls)], "kept_some boolean, best_of_curve boolean, stopped_by_rise boolean")
+
+
+_ROLLING = """select m.model_name, f.fold, count(*) as rows, count(*) as known, 0::bigint as outside
+    from FOLDS f join LF on LF.series_id = f.series_id and date_trunc('day', LF.timestamp) = f.start cross join (select unnest([{}]) as model_name) m {} group by 1, 2"""
+
+
+def _coverage(rows, days):
+    placed = rows.join(days.select(KEY, "fold", "start"), [KEY, "fold"])
+    outside = (F.col(TIME) < F.col("start")) | (F.col(TIME) >= F.col("start") + F.expr("INTERVAL 1 DAY"))
+    return placed.groupBy("model_name", "fold").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("y_pred").alias("known"), F.count_if(outside).alias("outside")
+    )
+
+
+@query("rolling_members", sql(_ROLLING.format("'ARIMA(2,1,2)', 'GBT', 'naive_24h', 'naive_7d'", "")))
+def rolling_members(spark, sf):
+    """All four members forecast every hour of each fold's own day, and none else."""
+    days = materialise(folds.daily_folds(fx.long_filled(spark, sf)))
+    return _coverage(rolling_forecast(spark, sf), days)
+
+
+@query("rolling_members_2_7", sql(_ROLLING.format("'SARIMA(1,1,1)(1,1,1,24)', 'GBT', 'naive_flat', 'naive_tile'", "where f.fold >= 2")))
+def rolling_members_2_7(spark, sf):
+    days = materialise(folds.daily_folds(fx.long_filled(spark, sf)))
+    return _coverage(rolling_days_2_7(spark, sf), days)
+
+
 @query("learning_curve_check", "select 600::bigint as rounds, true as falls, true as never_rises")
 def learning_curve_check(spark, sf):
     """One row per boosting round; the training error falls from the first to the last, and hardly ever rises."""

@@ -141,11 +141,14 @@ def _ar_rows(meter):
     return materialise(rows.na.drop(subset=["Demand", *features])), features
 
 
+#: Least rows in a leaf of the models that stop early.
+LEAF_ROWS = 20
+
 _FITTED: dict[tuple[str, str], tuple] = {}
 
 
 def _gbt(spark, sf):
-    """The 600-round model that four queries read, fitted once per session and table."""
+    """All 600 rounds, as the learning curve shows them, fitted once per session and table."""
     at = (spark.sparkContext.applicationId, sf)
     if at not in _FITTED:
         rows, features = _ar_rows(fx.wide_filled(spark, sf))
@@ -154,9 +157,28 @@ def _gbt(spark, sf):
     return _FITTED[at]
 
 
+def _once(kind: str, spark, sf, build):
+    """What several queries read, fitted once per session and table."""
+    at = (kind, spark.sparkContext.applicationId, sf)
+    if at not in _FITTED:
+        _FITTED[at] = build()
+    return _FITTED[at]
+
+
+def _stopped(spark, sf):
+    """Up to 600 rounds, stopped on the newest days before the test days."""
+
+    def build():
+        rows, features = _ar_rows(fx.wide_filled(spark, sf))
+        train, test = trees.split_by_end(materialise(ml_dataset(rows, "Demand", features)))
+        return trees.fit_gbt(trees.with_tail(train), 600, validation="in_tail", leaf_rows=LEAF_ROWS), test
+
+    return _once("stopped", spark, sf, build)
+
+
 @query("gbt_forecast")
 def gbt_forecast(spark, sf):
-    model, _, test, _ = _gbt(spark, sf)
+    model, test = _stopped(spark, sf)
     return trees.predict(model, test, "GBT")
 
 
@@ -182,7 +204,7 @@ def exog_comparison(spark, sf):
 @query("recursive_forecast")
 def recursive_forecast(spark, sf):
     meter = materialise(fx.wide_filled(spark, sf))
-    model, _, _, _ = _gbt(spark, sf)
+    model, _ = _stopped(spark, sf)
     return trees.recursive_forecast(model, meter)
 
 
@@ -246,14 +268,53 @@ def walk_forward(spark, sf):
     return metrics.forecast_metrics(arima.walk_forward(rows, _folds(rows), specs), [KEY, "model_name", "fold"])
 
 
+def _fold_table(rows, days):
+    lags = trees.ar_frame(rows, "value")
+    features = [c for c in lags.columns if c.startswith("value_lag_")] + trees.TIME_FEATURES
+    return materialise(trees.fold_table(ml_dataset(lags, "value", features), days))
+
+
+def _fold_trees(spark, sf):
+    def build():
+        rows = _filled(spark, sf)
+        days = _folds(rows)
+        pred, rounds = trees.fold_forecasts(_fold_table(rows, days), range(1, 8), leaf_rows=LEAF_ROWS)
+        return rows, days, materialise(pred), rounds
+
+    return _once("folds", spark, sf, build)
+
+
+@query(
+    "fold_training_rows",
+    sql(
+        """select f.series_id, f.fold, count(*) as rows, max(x.timestamp) as newest, count(*) filter (x.timestamp >= f.start - interval 4 day) as tail_rows
+        from FOLDS f join (select *, row_number() over (partition by series_id order by timestamp) as i from LF) x
+        on x.series_id = f.series_id and x.timestamp < f.start where x.i > 48 group by 1, 2"""
+    ),
+)
+def fold_training_rows(spark, sf):
+    """Each fold of the tree member learns from all rows before its day that have their lags, and from none after."""
+    rows = _filled(spark, sf)
+    return trees.fold_training_rows(_fold_table(rows, _folds(rows)))
+
+
 @query("rolling_forecast")
 def rolling_forecast(spark, sf):
-    """Fitted and naive members over the same seven days."""
-    rows = _filled(spark, sf)
-    days = _folds(rows)
+    """Fitted and naive members over the same seven days, every model refitted before each."""
+    rows, days, boosted, _ = _fold_trees(spark, sf)
     fitted = arima.walk_forward(rows, days, [arima.Spec((2, 1, 2))], window=720).drop("status")
     naive = baselines.rolling_baselines(rows, days, members=["naive_24h", "naive_7d"])
-    return fitted.unionByName(naive)
+    return fitted.unionByName(boosted).unionByName(naive)
+
+
+@query("rolling_days_2_7")
+def rolling_days_2_7(spark, sf):
+    """Seasonal ARIMA, trees, the last value and the last day over days two to seven."""
+    rows, days, boosted, _ = _fold_trees(spark, sf)
+    late = days.where("fold >= 2")
+    fitted = arima.walk_forward(rows, late, [arima.Spec((1, 1, 1), (1, 1, 1, 24))]).drop("status")
+    naive = baselines.rolling_baselines(rows, days, skip_first=True)
+    return fitted.unionByName(boosted.where("fold >= 2")).unionByName(naive)
 
 
 @query(

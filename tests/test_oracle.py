@@ -20,6 +20,7 @@ CHOSEN = """
     lag_features feature_table yeo_johnson describe moments corr_matrix histogram boxplot_by_hour qq_ranks energy_kpis insights
     acf pacf kpss seasonality_strength mutual_information normality naive_24h naive_7d ar1_walk_forward arima_forecast
     metrics_train_range metrics_summary best_model stat_vs_ml dispatch_kpis dispatch_validate dispatch_invariants
+    fold_training_rows rolling_members rolling_members_2_7 gbt_skill gbt_halves_error early_stop_check
 """.split()
 NAMES = sorted(QUERIES) if os.environ.get("FLEETWATT_ALL") else CHOSEN
 
