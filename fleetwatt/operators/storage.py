@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from fleetwatt import KEY, TIME
 from fleetwatt.functions.clock import as_column
+from fleetwatt.operators import battery
 from fleetwatt.operators.features import tariffs
 from fleetwatt.operators.grid import with_day
 
@@ -24,6 +25,8 @@ START_SHARE = 0.5
 END_SHARE = 0.2
 SCENARIOS = {"PV_low": "pv_low", "PV_high": "pv_high"}
 CAPACITIES = (5.0, 10.0, 15.0)
+#: Problems planned at a time; their pieces are about 50 kB each.
+DAYS = 512
 
 PROBLEM = [KEY, "day", "scenario", "capacity_kwh"]
 
@@ -74,110 +77,24 @@ def with_capacities(df: DataFrame, capacities: Sequence[float] = (CAPACITY_KWH,)
     return df.withColumn("capacity_kwh", F.explode(F.array(*[F.lit(float(c)) for c in capacities])))
 
 
-def _exchange_cost(net: float, buy: float, sell: float, b: Battery) -> tuple[np.ndarray, np.ndarray]:
-    """Cost of one hour against the drop in stored energy: its break points.
-
-    Convex and piecewise linear for 0 <= sell <= buy; empty if no drop is feasible.
-    """
-    eff = b.efficiency
-
-    def drawn(drop: np.ndarray) -> np.ndarray:
-        """Power taken from the grid (negative: given) for a drop."""
-        return net - np.where(drop > 0, drop * eff, drop / eff)
-
-    def drop_for(power: float) -> float:
-        spare = net - power
-        return spare / eff if spare > 0 else spare * eff
-
-    lo = max(-b.power * eff, drop_for(b.grid))
-    hi = min(b.power / eff, drop_for(-b.grid))
-    if lo > hi + 1e-12:
-        return np.zeros(0), np.zeros(0)
-    inner = [x for x in (0.0, drop_for(0.0)) if lo < x < hi]
-    x = np.unique([lo, *inner, max(lo, hi)])
-    g = drawn(x)
-    return x, np.where(g > 0, buy * g, sell * g)
-
-
-def _add_convex(x1: np.ndarray, f1: np.ndarray, x2: np.ndarray, f2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Infimal convolution of two convex piecewise-linear functions: their pieces by slope."""
-    width = np.concatenate([np.diff(x1), np.diff(x2)])
-    rise = np.concatenate([np.diff(f1), np.diff(f2)])
-    keep = width > 1e-12
-    width, rise = width[keep], rise[keep]
-    order = np.argsort(rise / width, kind="stable")
-    return (
-        np.concatenate([[x1[0] + x2[0]], x1[0] + x2[0] + np.cumsum(width[order])]),
-        np.concatenate([[f1[0] + f2[0]], f1[0] + f2[0] + np.cumsum(rise[order])]),
-    )
-
-
-def _restrict(x: np.ndarray, f: np.ndarray, lo: float, hi: float) -> tuple[np.ndarray, np.ndarray]:
-    lo, hi = max(lo, x[0]), min(hi, x[-1])
-    if lo > hi + 1e-9:
-        return np.zeros(0), np.zeros(0)
-    inside = x[(x > lo) & (x < hi)]
-    nx = np.concatenate([[lo], inside, [max(hi, lo)]])
-    return nx, np.interp(nx, x, f)
-
-
 def plan_day(
     demand: np.ndarray, pv: np.ndarray, buy: np.ndarray, sell: np.ndarray, capacity: float, b: Battery = Battery()
 ) -> dict | None:
-    """The cheapest schedule of one day, or None if no schedule meets the limits.
+    """The cheapest schedule of one day, or None if no schedule meets the limits."""
+    one = [np.asarray(x, float)[None, :] for x in (demand - pv, buy, sell)]
+    found, feasible = battery.plan(*one, np.array([float(capacity)]), b.power, b.grid, b.efficiency, b.start, b.end)
+    return {k: v[0] for k, v in found.items()} if feasible[0] else None
 
-    Backward: the cost to go is convex and piecewise linear in the stored energy, so
-    one hour's step merges the slopes of two such functions.  Forward: each hour takes
-    the cheapest of the break points in reach.
-    """
-    hours = len(demand)
-    to_go: list[tuple[np.ndarray, np.ndarray]] = [(np.array([b.end * capacity, capacity]), np.zeros(2))]
-    steps = []
-    for t in range(hours - 1, -1, -1):
-        x, f = _exchange_cost(demand[t] - pv[t], buy[t], sell[t], b)
-        if not len(x):
-            return None
-        steps.append((x, f))
-        vx, vf = _restrict(*_add_convex(*to_go[-1], x, f), 0.0, capacity)
-        if not len(vx):
-            return None
-        to_go.append((vx, vf))
-    to_go.reverse()
-    steps.reverse()
-    soc = np.zeros(hours + 1)
-    soc[0] = b.start * capacity
-    if not to_go[0][0][0] - 1e-9 <= soc[0] <= to_go[0][0][-1] + 1e-9:
-        return None
-    for t in range(hours):
-        x, f = steps[t]
-        nx, nf = to_go[t + 1]
-        lo, hi = max(nx[0], soc[t] - x[-1]), min(nx[-1], soc[t] - x[0])
-        hi = max(hi, lo)
-        options = np.concatenate([nx, soc[t] - x, [lo, hi]])
-        options = options[(options >= lo) & (options <= hi)]
-        price = np.interp(soc[t] - options, x, f) + np.interp(options, nx, nf)
-        soc[t + 1] = options[np.argmin(price)]
-    drop = soc[:-1] - soc[1:]
-    charge = np.where(drop < 0, -drop / b.efficiency, 0.0)
-    discharge = np.where(drop > 0, drop * b.efficiency, 0.0)
-    grid = demand - pv + charge - discharge
-    imported, exported = np.maximum(grid, 0.0), np.maximum(-grid, 0.0)
-    return {
-        "soc": soc,
-        "charge": charge,
-        "discharge": discharge,
-        "grid_import": imported,
-        "grid_export": exported,
-        "cost": float(buy @ imported - sell @ exported),
-    }
-
-
-def dispatch(df: DataFrame, battery: Battery = Battery(), problem: Sequence[str] = tuple(PROBLEM)) -> DataFrame:
+
+def dispatch(df: DataFrame, limits: Battery = Battery(), problem: Sequence[str] = tuple(PROBLEM)) -> DataFrame:
     """One row per problem and hour with the optimal flows, ``soc`` before the hour,
-    ``soc_end`` after the day, the cost of the day and a ``status``.
+    ``energy_value`` (the cost of a further kWh stored after it), ``soc_end`` after the day,
+    the cost of the day and a ``status``.
 
-    Input: ``problem..., hour, demand, pv, price_buy, price_sell``.  The 24 rows of a
-    problem become one row of arrays, and tasks plan many problems per Arrow batch.
+    Input: ``problem..., hour, demand, pv, price_buy, price_sell``.  Prices may have any
+    sign and order.  A problem with an unknown signal is ``missing_input``, one whose
+    limits cannot be met ``infeasible``; their rows stay, with null flows.  The 24 rows of
+    a problem become one row of arrays, and tasks plan ``DAYS`` problems at a time.
     """
     problem = list(problem)
     signals = ["demand", "pv", "price_buy", "price_sell"]
@@ -185,7 +102,7 @@ def dispatch(df: DataFrame, battery: Battery = Battery(), problem: Sequence[str]
     days = df.groupBy(*problem).agg(hours.alias("_h"))
     # a field of an array of structs is the array of that field
     arrays = days.select(*problem, *[F.col("_h").getField(s).alias(s) for s in ["hour", *signals]])
-    flows = ["grid_import", "grid_export", "charge", "discharge", "soc"]
+    flows = ["grid_import", "grid_export", "charge", "discharge", "energy_value", "soc"]
     lists = [T.StructField(n, T.ArrayType(T.DoubleType())) for n in flows]
     schema = T.StructType(
         [
@@ -197,40 +114,75 @@ def dispatch(df: DataFrame, battery: Battery = Battery(), problem: Sequence[str]
         ]
     )
 
+    def solved(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Problems of one number of hours."""
+        demand, pv, buy, sell = (np.array(pdf[s].tolist(), float).reshape(len(pdf), -1) for s in signals)
+        capacity = pdf["capacity_kwh"].to_numpy(float)
+        known = ~np.isnan(demand + pv + buy + sell).any(axis=1) & ~np.isnan(capacity)
+        out = {n: np.full(demand.shape, np.nan) for n in flows}
+        soc_end, cost = np.full(len(pdf), np.nan), np.full(len(pdf), np.nan)
+        status = np.where(known, "infeasible", "missing_input").astype(object)
+        for at in np.array_split(np.flatnonzero(known), max(1, -(-int(known.sum()) // DAYS))):
+            b = limits
+            found, ok = battery.plan(demand[at] - pv[at], buy[at], sell[at], capacity[at], b.power, b.grid, b.efficiency, b.start, b.end)
+            done = at[ok]
+            for n in flows:
+                out[n][done] = found[n][ok, : demand.shape[1]]
+            soc_end[done], cost[done], status[done] = found["soc"][ok, -1], found["cost"][ok], "optimal"
+        return pdf.assign(**{n: list(v) for n, v in out.items()}, soc_end=soc_end, cost=cost, status=status)
+
     def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = []
-            for row in pdf.itertuples(index=False):
-                d, p, buy, sell = (np.asarray(getattr(row, s), float) for s in signals)
-                blank = [np.full(len(d), np.nan)] * len(flows)
-                if np.isnan([*d, *p, *buy, *sell]).any():
-                    found.append((*blank, None, None, "missing_input"))
-                elif (sell < 0).any() or (sell > buy).any():
-                    found.append((*blank, None, None, "unsupported_price"))
-                else:
-                    best = plan_day(d, p, buy, sell, row.capacity_kwh, battery)
-                    if best is None:
-                        found.append((*blank, None, None, "infeasible"))
-                    else:
-                        soc = best["soc"]
-                        found.append((*[best[n] for n in flows[:-1]], soc[:-1], soc[-1], best["cost"], "optimal"))
-            yield pd.concat([pdf, pd.DataFrame(found, columns=schema.names[len(pdf.columns) :], index=pdf.index)], axis=1)
+            for _, same in pdf.groupby(pdf["demand"].map(len)):
+                yield solved(same)[schema.names]
 
     planned = arrays.mapInPandas(plan, schema)
     rows = planned.select(
         *problem,
         "status",
-        "cost",
-        "soc_end",
+        F.nanvl("cost", F.lit(None).cast("double")).alias("cost"),
+        F.nanvl("soc_end", F.lit(None).cast("double")).alias("soc_end"),
         F.explode(F.arrays_zip("hour", *signals, *flows)).alias("_r"),
     )
     known = [F.nanvl(F.col(f"_r.{n}"), F.lit(None).cast("double")).alias(n) for n in [*signals, *flows]]
     return rows.select(*problem, F.col("_r.hour").alias("hour"), *known, "soc_end", "cost", "status")
 
 
-def capacity_sweep(df: DataFrame, capacities: Sequence[float] = CAPACITIES, battery: Battery = Battery()) -> DataFrame:
+def dual_bound(schedule: DataFrame, limits: Battery = Battery(), by: Sequence[str] = tuple(PROBLEM)) -> DataFrame:
+    """``cost`` of each optimal problem beside ``bound``, which no schedule can undercut.
+
+    The bound is the dual function of the linear program at the values of stored energy:
+    each hour on its own takes the cheapest corner of its flows, energy kept included.
+    It holds for any values, so it judges the schedule whatever made it.
+    """
+    p, g, eff = limits.power, limits.grid, limits.efficiency
+    rows = schedule.where("status = 'optimal'")
+    net = F.col("demand") - F.col("pv")
+    edges = []  # corners (charge, discharge) of the square, and where the grid draw is a limit or zero on its edges
+    for x in (0.0, p):
+        edges += [(F.lit(x), F.lit(y)) for y in (0.0, p)]
+        edges += [pair for level in (-g, 0.0, g) for pair in ((F.lit(x), net + x - level), (level - net + x, F.lit(x)))]
+    corner = F.explode(F.array(*[F.struct(c.alias("c"), d.alias("d")) for c, d in edges]))
+    w = Window.partitionBy(*by).orderBy("hour")
+    cap, value = F.col("capacity_kwh"), F.col("energy_value")
+    lagged = rows.withColumns({"_before": F.lag("energy_value").over(w), "_last": F.lead("energy_value").over(w).isNull()})
+    inner = F.least(F.lit(0.0), (value - F.col("_before")) * cap)
+    stored = F.when(F.col("_before").isNull(), value * limits.start * cap).otherwise(inner)
+    stored = stored + F.when(F.col("_last"), F.least(-value * limits.end * cap, -value * cap)).otherwise(0.0)
+    each = lagged.select(*by, "hour", "cost", value, "price_buy", "price_sell", net.alias("_net"), stored.alias("_stored"), corner.alias("_x"))
+    draw = F.col("_net") + F.col("_x.c") - F.col("_x.d")
+    near = 1e-9
+    fits = (F.least("_x.c", "_x.d") >= -near) & (F.greatest("_x.c", "_x.d") <= p + near) & (F.abs(draw) <= g + near)
+    both = F.greatest(F.col("price_sell") - F.col("price_buy"), F.lit(0.0)) * g
+    paid = F.when(draw > 0, F.greatest("price_buy", "price_sell") * draw).otherwise(F.least("price_buy", "price_sell") * draw) - both
+    least = F.min(F.when(fits, paid + value * (eff * F.col("_x.c") - F.col("_x.d") / eff)))
+    hourly = each.groupBy(*by, "hour").agg(least.alias("_least"), F.first("_stored").alias("_stored"), F.first("cost").alias("cost"))
+    return hourly.groupBy(*by).agg(F.first("cost").alias("cost"), F.sum(F.col("_least") + F.col("_stored")).alias("bound"))
+
+
+def capacity_sweep(df: DataFrame, capacities: Sequence[float] = CAPACITIES, limits: Battery = Battery()) -> DataFrame:
     """Total cost per site, scenario and capacity."""
-    planned = dispatch(with_capacities(df.drop("capacity_kwh"), capacities), battery)
+    planned = dispatch(with_capacities(df.drop("capacity_kwh"), capacities), limits)
     daily = planned.where("hour = 0")
     return daily.groupBy(KEY, "scenario", "capacity_kwh").agg(
         F.sum("cost").alias("total_cost"), F.count("cost").alias("days"), F.count_if(F.col("status") != "optimal").alias("unsolved")
@@ -284,10 +236,10 @@ def scenario_savings(kpis: DataFrame, base: str, other: str, by: Sequence[str] =
     )
 
 
-def dispatch_validate(schedule: DataFrame, battery: Battery = Battery(), by: Sequence[str] = tuple(PROBLEM)) -> DataFrame:
+def dispatch_validate(schedule: DataFrame, limits: Battery = Battery(), by: Sequence[str] = tuple(PROBLEM)) -> DataFrame:
     """Largest violations per problem: balance, energy steps, limits, start and end."""
     w = Window.partitionBy(*by).orderBy("hour")
-    eff = battery.efficiency
+    eff = limits.efficiency
     rows = schedule.withColumn("_after", F.coalesce(F.lead("soc").over(w), F.col("soc_end")))
     balance = F.col("pv") + F.col("grid_import") + F.col("discharge") - F.col("demand") - F.col("grid_export") - F.col("charge")
     step = F.col("_after") - F.col("soc") - eff * F.col("charge") + F.col("discharge") / eff
@@ -297,8 +249,8 @@ def dispatch_validate(schedule: DataFrame, battery: Battery = Battery(), by: Seq
     return rows.groupBy(*by).agg(
         F.max(F.abs(balance)).alias("balance_gap"),
         F.max(F.abs(step)).alias("step_gap"),
-        F.max(F.greatest(power - battery.power, -low, zero)).alias("power_excess"),
+        F.max(F.greatest(power - limits.power, -low, zero)).alias("power_excess"),
         F.max(F.greatest(F.greatest("soc", "_after") - F.col("capacity_kwh"), -F.least("soc", "_after"), zero)).alias("energy_excess"),
-        F.max(F.when(F.col("hour") == 0, F.abs(F.col("soc") - battery.start * F.col("capacity_kwh")))).alias("start_gap"),
-        F.max(F.greatest(battery.end * F.col("capacity_kwh") - F.col("soc_end"), zero)).alias("end_gap"),
+        F.max(F.when(F.col("hour") == 0, F.abs(F.col("soc") - limits.start * F.col("capacity_kwh")))).alias("start_gap"),
+        F.max(F.greatest(limits.end * F.col("capacity_kwh") - F.col("soc_end"), zero)).alias("end_gap"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fleetwatt import KEY
@@ -113,6 +114,48 @@ def dispatch_invariants(spark, sf):
     )
 
 
+def _any_price(spark, sf):
+    """The storage days at prices around zero; every third hour selling is dearer than buying."""
+    days = storage.with_capacities(fx.storage_days(spark, sf), storage.CAPACITIES)
+    buy = F.col("price_buy") - F.avg("price_buy").over(Window.partitionBy(KEY, "day"))
+    days = days.withColumn("price_buy", buy)
+    return days.withColumn("price_sell", F.when(F.col("hour") % 3 == 0, F.col("price_buy") + 0.02).otherwise(F.col("price_buy") / 2))
+
+
+def _bounded(schedule, by):
+    """Problems solved, schedules that break a limit, and ones that cost more than their dual bound."""
+    schedule = materialise(schedule)
+    gaps = ["balance_gap", "step_gap", "power_excess", "energy_excess", "start_gap", "end_gap"]
+    valid = storage.dispatch_validate(schedule).withColumn("_gap", F.greatest(*gaps)).select(*storage.PROBLEM, "_gap")
+    bound = storage.dual_bound(schedule)
+    status = schedule.where("hour = 0").select(*storage.PROBLEM, "status")
+    all_days = status.join(valid, storage.PROBLEM).join(bound, storage.PROBLEM, "left")
+    return all_days.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("problems"),
+        F.count_if(F.col("status") == "optimal").alias("optimal"),
+        F.count_if(F.col("_gap") > 1e-6).alias("violations"),
+        F.count_if(F.col("cost") > F.col("bound") + 1e-7).alias("above_bound"),
+    )
+
+
+@query("dispatch_bound", sql("select series_id, scenario, count(distinct day) as problems, count(distinct day) as optimal, 0::bigint as violations, 0::bigint as above_bound from S group by 1, 2"))
+def dispatch_bound(spark, sf):
+    """Every day is solved, within its limits, at a cost that no schedule can undercut (linear-programming dual)."""
+    return _bounded(_optimal(spark, sf), [KEY, "scenario"])
+
+
+@query(
+    "dispatch_any_price",
+    sql(
+        """select series_id, scenario, capacity_kwh, count(distinct day) as problems, count(distinct day) as optimal, 0::bigint as violations, 0::bigint as above_bound
+        from S cross join (select unnest([5.0, 10.0, 15.0])::double as capacity_kwh) c group by 1, 2, 3"""
+    ),
+)
+def dispatch_any_price(spark, sf):
+    """The same at negative prices, at selling prices above the buying ones, and for all capacities of the sweep."""
+    return _bounded(storage.dispatch(_any_price(spark, sf)), [KEY, "scenario", "capacity_kwh"])
+
+
 @query("dispatch_optimal_kpis")
 def dispatch_optimal_kpis(spark, sf):
     return storage.dispatch_kpis(_optimal(spark, sf))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fleetwatt.operators import storage
+from fleetwatt.operators import battery, storage
 from frames import START
 
 # One day of demand, generation of two scenarios and prices, and the
@@ -48,27 +48,33 @@ def test_schedules_are_valid(spark):
     assert max(row) < 1e-9
 
 
-def brute_force(demand, pv, buy, sell, capacity, cells=240):
-    """Lowest cost over schedules on a fine grid of stored energy."""
+def brute_force(demand, pv, buy, sell, capacity, cells=240, burns=60):
+    """Lowest cost over schedules on a fine grid of stored energy and of charging beside discharging."""
     b = storage.Battery()
     soc = np.linspace(0, capacity, cells + 1)
     best = np.where(soc >= b.end * capacity - 1e-9, 0.0, np.inf)
+    more = np.linspace(0, b.power, burns + 1)[None, None, :]
     for t in range(len(demand) - 1, -1, -1):
-        step = soc[None, :] - soc[:, None]
-        charge, give = np.where(step > 0, step / b.efficiency, 0), np.where(step < 0, -step * b.efficiency, 0)
+        drop = (soc[:, None] - soc[None, :])[:, :, None]
+        charge = np.maximum(0, -drop / b.efficiency) + more
+        give = b.efficiency * drop + b.efficiency**2 * charge
         net = demand[t] - pv[t] + charge - give
         ok = (charge <= b.power + 1e-9) & (give <= b.power + 1e-9) & (np.abs(net) <= b.grid + 1e-9)
-        best = (np.where(ok, np.where(net > 0, buy[t], sell[t]) * net, np.inf) + best[None, :]).min(axis=1)
+        # imports and exports at once, as far as the connection goes, if selling is dearer
+        through = np.where(sell[t] > buy[t], b.grid - np.abs(net), 0.0)
+        cost = buy[t] * (np.maximum(net, 0) + through) - sell[t] * (np.maximum(-net, 0) + through)
+        best = (np.where(ok, cost, np.inf).min(axis=2) + best[None, :]).min(axis=1)
     return best[int(round(b.start * cells))]
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_optimum_against_a_grid_search(seed):
+@pytest.mark.parametrize("prices", ["usual", "signed", "inverted"])
+@pytest.mark.parametrize("seed", range(4))
+def test_optimum_against_a_grid_search(seed, prices):
     rng = np.random.default_rng(seed)
-    hours = 8
-    demand, pv = rng.uniform(0, 6, hours), rng.uniform(0, 7, hours) * (rng.random(hours) < 0.6)
-    buy = rng.uniform(0.02, 0.4, hours)
-    sell = buy * rng.uniform(0, 1, hours)
+    hours = 6
+    demand, pv = rng.uniform(0, 6, hours), rng.uniform(0, 9, hours) * (rng.random(hours) < 0.6)
+    buy = rng.uniform(0.02 if prices == "usual" else -0.4, 0.4, hours)
+    sell = rng.uniform(-0.4, 0.4, hours) if prices == "inverted" else buy * rng.uniform(0, 1, hours)
     plan = storage.plan_day(demand, pv, buy, sell, 10.0)
     searched = brute_force(demand, pv, buy, sell, 10.0)
     if plan is None:
@@ -79,12 +85,54 @@ def test_optimum_against_a_grid_search(seed):
     assert plan["cost"] >= searched - 0.06
 
 
+def test_batch_is_the_same_as_one_by_one():
+    rng = np.random.default_rng(7)
+    net, buy, sell = rng.uniform(-8, 8, (40, 24)), rng.uniform(-0.1, 0.3, (40, 24)), rng.uniform(-0.1, 0.3, (40, 24))
+    capacity = rng.choice([0.0, 5.0, 10.0, 15.0], 40)
+    args = (5.0, 5.0, 0.95, 0.5, 0.2)
+    found, feasible = battery.plan(net, buy, sell, capacity, *args)
+    assert 0 < feasible.sum() < 40
+    for i in range(40):
+        one, ok = battery.plan(net[i : i + 1], buy[i : i + 1], sell[i : i + 1], capacity[i : i + 1], *args)
+        assert ok[0] == feasible[i]
+        if ok[0]:
+            assert one["cost"][0] == pytest.approx(found["cost"][i], abs=1e-9)
+
+
+def test_lossless_battery_and_empty_batch():
+    net, price = np.array([[1.0, 2.0, -3.0]]), np.array([[0.1, 0.3, 0.2]])
+    found, ok = battery.plan(net, price, price / 2, np.array([4.0]), 5.0, 5.0, 1.0, 0.5, 0.5)
+    assert ok[0] and np.allclose(found["soc"][0, -1] - 2.0, -(found["discharge"] - found["charge"]).sum())
+    none, ok = battery.plan(net[:0], price[:0], price[:0], np.zeros(0), 5.0, 5.0, 0.95, 0.5, 0.2)
+    assert len(ok) == 0 and none["cost"].shape == (0,)
+
+
 def test_statuses(spark):
-    negative = problems(spark, price=[-0.1] + PRICE[1:])
-    assert {r["status"] for r in storage.dispatch(negative).select("status").distinct().collect()} == {"unsupported_price"}
     flood = problems(spark, scenarios={"PV_high": [20.0] * 24})
-    rows = storage.dispatch(flood).select("status", "charge").distinct().collect()
-    assert [(r["status"], r["charge"]) for r in rows] == [("infeasible", None)]
+    rows = storage.dispatch(flood).select("status", "charge", "cost").distinct().collect()
+    assert [tuple(r) for r in rows] == [("infeasible", None, None)]
+    holed = problems(spark).withColumn("demand", F.when(F.col("hour") != 5, F.col("demand")))
+    assert {r["status"] for r in storage.dispatch(holed).select("status").distinct().collect()} == {"missing_input"}
+
+
+def test_negative_price_burns_energy(spark):
+    """Paid to draw: the connection is used in full, charging and discharging at once."""
+    negative = problems(spark, price=[-0.1] + PRICE[1:], scenarios={"PV_low": PV_LOW}, capacity=0.0)
+    schedule = storage.dispatch(negative)
+    first = schedule.where("hour = 0").first()
+    assert first["status"] == "optimal" and min(first["charge"], first["discharge"]) > 1.0
+    gaps = storage.dispatch_validate(schedule).first()
+    assert max(gaps[c] for c in ["balance_gap", "step_gap", "power_excess", "energy_excess"]) < 1e-9
+
+
+def test_dual_bound(spark):
+    days = problems(spark).withColumn("price_sell", F.when(F.col("hour") % 4 == 0, F.col("price_buy") + 0.01).otherwise(F.col("price_sell")))
+    schedule = storage.dispatch(days)
+    for r in storage.dual_bound(schedule).collect():
+        assert r["cost"] == pytest.approx(r["bound"], abs=1e-9)
+    # a worse value of energy is still a bound, and a dearer schedule shows
+    off = schedule.withColumn("energy_value", F.col("energy_value") * 0.5)
+    assert all(r["bound"] < r["cost"] - 1e-6 for r in storage.dual_bound(off).collect())
 
 
 def test_more_capacity_never_costs_more(spark):
