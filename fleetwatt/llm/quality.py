@@ -95,6 +95,10 @@ def _text_hash(name: str) -> Column:
     return F.xxhash64(F.coalesce(column(name), F.lit("")))
 
 
+def _host_hash(name: str) -> Column:
+    return F.xxhash64(F.coalesce(column(name).cast("string"), F.lit("")), column(name).isNull())
+
+
 def verdicts(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -108,16 +112,15 @@ def verdicts(
 
     Returns the id, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
     ``n_repeat_words``, ``base_failed`` (under 50 words, or more than half of them in
-    repeated 3-word windows), ``kept``, ``n_removed_words``, and ``_text`` and
-    ``_removed`` (text hash and hashes of its lines above the limit) for the filter.
+    repeated 3-word windows), ``kept``, ``n_removed_words``, and for the filter ``_host``,
+    ``_text`` and ``_removed`` (hashes of host, text and its lines above the limit).
 
     A null text has no words and fails.  Rows with a null host form a host of their own.
     Null ids come back null; rows that share an id get a row each.  A document without
     words is not kept.  An empty table gives an empty table; other columns are not read.
     """
-    host = F.xxhash64(F.coalesce(column(host_col).cast("string"), F.lit("")), column(host_col).isNull())
     narrow = docs.select(
-        id_key(id_col).alias("_id"), host.alias("_host"), _text_hash(text_col).alias("_text"), text_bytes(text_col).alias("_bytes")
+        id_key(id_col).alias("_id"), _host_hash(host_col).alias("_host"), _text_hash(text_col).alias("_text"), text_bytes(text_col).alias("_bytes")
     )
     schema = f"_id long, _host long, _text long, {_COUNTS}, _lines array<long>, _line_words array<long>"
     read = settled(narrow.mapInArrow(_read, schema).withColumn("_row", F.monotonically_increasing_id()))
@@ -137,6 +140,7 @@ def verdicts(
         failed.alias("base_failed"),
         (~failed & (left >= min_left * F.col("n_words"))).alias("kept"),
         F.col("_lost").alias("n_removed_words"),
+        "_host",
         "_text",
         F.coalesce("_gone", F.array().cast("array<long>")).alias("_removed"),
     )
@@ -156,13 +160,19 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rules) -> DataFrame:
-    """The documents that pass, same columns, their text without the lines above the limit."""
-    judged = verdicts(docs, id_col, text_col, **rules).where("kept")
-    judged = judged.select(id_key(id_col).alias("_id"), "_text", "_removed").dropDuplicates(["_id", "_text"])
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **rules) -> DataFrame:
+    """The documents that pass, same columns, their text without the lines above the limit.
+
+    Rows that share id, text and host have one verdict; the same id and text under another
+    host has its own.
+    """
+    match = ["_id", "_host", "_text"]
+    judged = verdicts(docs, id_col, text_col, host_col, **rules).where("kept")
+    judged = judged.select(id_key(id_col).alias("_id"), "_host", "_text", "_removed").dropDuplicates(match)
     names = docs.columns
-    inner = docs.select(id_key(id_col).alias("_id"), _text_hash(text_col).alias("_text"), *[column(c).alias(f"_c{i}") for i, c in enumerate(names)])
-    joined = inner.join(judged, ["_id", "_text"]).drop("_id", "_text")
+    keys = [id_key(id_col).alias("_id"), _host_hash(host_col).alias("_host"), _text_hash(text_col).alias("_text")]
+    inner = docs.select(*keys, *[column(c).alias(f"_c{i}") for i, c in enumerate(names)])
+    joined = inner.join(judged, match).drop(*match)
     body = f"_c{names.index(text_col)}"
     order = [body, "_removed", *[c for c in joined.columns if c not in (body, "_removed")]]
     kinds = {f.name: f.dataType.simpleString() for f in joined.schema}
@@ -171,7 +181,7 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
 
 
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
-    return verdicts(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("_text", "_removed")
+    return verdicts(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("_host", "_text", "_removed")
 
 
 OP8_SQL = r"""

@@ -166,7 +166,7 @@ def test_pipeline_near_copies_against_brute_force(spark, monkeypatch, tile):
     assert sorted(r.doc_id for r in got.collect()) == want
 
 
-def test_near_copies_odd_table(spark):
+def test_jaccard_odd_table(spark):
     got = jaccard.near_copies(odd.table(spark)).collect()
     assert sorted(_key(r.doc_id) for r in got) == sorted(_key(r[0]) for r in odd.rows())
     assert jaccard.one_of_each(odd.table(spark)).columns == odd.table(spark).columns
@@ -350,7 +350,7 @@ def plain_quality(rows: list[tuple], min_docs: int, share: float) -> dict:
 def test_quality_odd_table(spark, limits):
     docs, rows = odd.table(spark), odd.rows()
     want = plain_quality([(r[0], r[1], r[3]) for r in rows], *limits)
-    got = quality.verdicts(docs, min_docs=limits[0], max_share=limits[1]).drop("_text", "_removed").collect()
+    got = quality.verdicts(docs, min_docs=limits[0], max_share=limits[1]).drop("_host", "_text", "_removed").collect()
     each = [want[_key(r[0]), r[1] or "", r[3]] for r in rows]
     assert Counter(tuple(r)[1:] for r in got) == Counter(w[:8] for w in each)
     kept = quality.keep_good(docs, min_docs=limits[0], max_share=limits[1])
@@ -414,3 +414,15 @@ def test_substring_digest(spark):
     plain = plain_repeats(rows)
     want = {i: hashlib.sha256(" ".join(w for w, g in zip(odd.words(t), x) if not g).encode()).hexdigest() for (i, t), x in zip(rows, plain)}
     assert {r.doc_id: r.kept_sha256 for r in got} == want
+
+
+def test_a_verdict_holds_for_its_host_only(spark):
+    """One id and text under two hosts: where most of its lines are boilerplate it goes, under the other it stays whole."""
+    rng = random.Random(4)
+    common = [odd.prose(rng, 30) for _ in range(3)]
+    shared = "\n".join([*common, odd.prose(rng, 20)])
+    rows = [(100 + i, "\n".join([*common, odd.prose(rng, 120)]), "en", "a", 1) for i in range(12)]
+    rows += [(7, shared, "en", "a", 1), (7, shared, "en", "b", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.source, r.text) for r in quality.keep_good(df).where("doc_id = 7").collect()]
+    assert kept == [("b", shared)]

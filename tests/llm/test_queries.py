@@ -8,10 +8,10 @@ import pytest
 
 import corpus_pipeline
 import odd
-from fleetwatt.llm import registry, simhash
+from fleetwatt.llm import registry
 from fleetwatt.session import configure, shared_path
 from oracle import connect, run
-from test_dedup import Sets, plain_lines, plain_quality, plain_repeats
+from test_dedup import _near_groups, plain_lines, plain_quality, plain_repeats
 from test_tokens import _check_packing
 
 SF = "/root/testdata/sf0.001"
@@ -50,13 +50,9 @@ def test_pipeline_stages(spark):
         left = [x for n, x in enumerate(r.text.split("\n")) if lines.get((r.doc_id, r.text, n), (r.doc_id, n)) == (r.doc_id, n)]
         assert (after.doc_id, after.text) == (r.doc_id, "\n".join(left))
 
-    fp = {r.doc_id: simhash.fingerprint(r.text.encode()) for r in rows[2]}
-    sets = Sets(fp)
-    for a in fp:
-        for b in fp:
-            if a < b and (fp[a] ^ fp[b]).bit_count() <= 3:
-                sets.join(a, b)
-    assert sorted(r.doc_id for r in rows[3]) == sorted(i for i in fp if sets.find(i) == i)
+    judged = sorted(rows[2])
+    sets = _near_groups([r.text for r in judged])
+    assert sorted(r.doc_id for r in rows[3]) == [r.doc_id for i, r in enumerate(judged) if sets.find(i) == i]
 
     before = sorted(rows[3])
     gone = plain_repeats([(r.doc_id, r.text) for r in before])
