@@ -391,7 +391,7 @@ def value_ranks(df: DataFrame, value: str, cells: int = 1024) -> DataFrame:
     rows = df.select(as_column(value).cast("double").alias("value")).where("value IS NOT NULL")
     rows = rows.groupBy("value").agg(F.count(F.lit(1)).alias("copies"))
     cuts = rows.stat.approxQuantile("value", [i / cells for i in range(1, cells)], 0.25 / cells)
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
+    splits = [-math.inf, *(sorted(set(cuts)) or [0.0]), math.inf]  # no values, no cuts
     placed = Bucketizer(splits=splits, inputCol="value", outputCol="_cell").transform(rows)
     sizes = placed.groupBy("_cell").agg(F.sum("copies").alias("_rows"))
     # one row per cell: at most `cells` rows in these windows and in the broadcast

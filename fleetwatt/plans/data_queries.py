@@ -40,14 +40,13 @@ def scan_csv_safe(spark, sf):
     "parquet_sink",
     sql(
         f"""select series_id, timestamp, {r('"Demand"')} as "Demand", strftime(timestamp, '%Y-%m') as month
-        from WF where timestamp >= timestamp '2024-01-05'"""
+        from WF"""
     ),
 )
 def parquet_sink(spark, sf):
     path = shared_path(spark, "features")
     writers.write_feature_table(fx.wide_filled(spark, sf), path)
-    back = spark.read.parquet(path).where(F.col(TIME) >= F.lit("2024-01-05").cast("timestamp_ntz"))
-    return back.select(KEY, TIME, "Demand", F.date_format(TIME, "yyyy-MM").alias("month"))
+    return spark.read.parquet(path).select(KEY, TIME, "Demand", F.date_format(TIME, "yyyy-MM").alias("month"))
 
 
 @query("first_nonempty", sql(f"select series_id, timestamp, {r('value')} as value from D"))

@@ -340,7 +340,7 @@ def _poly(coefficients, x: str) -> str:
     return out
 
 
-def _inverse_normal(p: str) -> str:
+def inverse_normal(p: str) -> str:
     a, b, c, d = profile.INVERSE_NORMAL
     tail = lambda q: f"{_poly(c, q)} / ({_poly(d, q)} * {q} + 1)"
     low, high, mid = f"sqrt(-2 * ln({p}))", f"sqrt(-2 * ln(1 - {p}))", f"({p} - 0.5::double)"
@@ -352,7 +352,7 @@ _QQ = {
     "MEDIANS": """select i, value, case when i = 1 then 1 - pow(0.5::double, 1 / n::double) when i = n then pow(0.5::double, 1 / n::double)
         else (i - 0.3175::double) / (n + 0.365::double) end as p from (
         select row_number() over (order by value) as i, count(*) over () as n, value::double as value from events where value is not null) x""",
-    "QQ": f"select i as rank, {_inverse_normal('p')} as theoretical, value as ordered from MEDIANS",
+    "QQ": f"select i as rank, {inverse_normal('p')} as theoretical, value as ordered from MEDIANS",
 }
 
 

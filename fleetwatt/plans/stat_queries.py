@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fleetwatt import KEY, TIME
 from fleetwatt.operators import decompose, grid, impute, profile, stats
 from fleetwatt.plans import fixtures as fx
+from fleetwatt.plans.feature_queries import inverse_normal
 from fleetwatt.plans.registry import query
 from fleetwatt.plans.sqltext import interp, r, sql
 from fleetwatt.session import materialise
@@ -161,6 +162,23 @@ def normality(spark, sf):
     return stats.normality(fx.wide(spark, sf), ["Demand", "Temperature", "radiation"], [KEY, TIME])
 
 
+_FRANCIA = """select variable, n, w as statistic, case when w >= 1 then 1.0 when z >= 0 then tail else 1 - tail end as p_value from (
+    select *, exp(-z * z / 2) / sqrt(2 * pi()) * (0.319381530 * t - 0.356563782 * t ** 2 + 1.781477937 * t ** 3 - 1.821255978 * t ** 4 + 1.330274429 * t ** 5) as tail from (
+    select *, 1 / (1 + 0.2316419 * abs(z)) as t from (
+    select variable, n, w, (ln(1 - w) - (-1.2725 + 1.0521 * (ln(ln(n)) - ln(n)))) / (1.0308 - 0.26758 * (ln(ln(n)) + 2.0 / ln(n))) as z from (
+    select variable, count(*) as n, corr(value, score) ** 2 as w from SCORED group by 1) a) b) c) d"""
+_SCORED = f"""select variable, value, {inverse_normal('p')} as score from (
+    select variable, value, (row_number() over (partition by variable order by value) - 0.375) / (count(*) over (partition by variable) + 0.25)::double as p from (
+    select 'Demand' as variable, "Demand" as value from W union all select 'Temperature', "Temperature" from W union all select 'radiation', radiation from W) x
+    where value is not null) y"""
+
+
+@query("shapiro_francia", sql(f"select variable, n, {r('statistic')} as statistic, {r('p_value')} as p_value, p_value > 0.05 as normal from FRANCIA", SCORED=_SCORED, FRANCIA=_FRANCIA))
+def shapiro_francia(spark, sf):
+    """Normality of three signals over all their rows."""
+    return stats.shapiro_francia(fx.wide(spark, sf), ["Demand", "Temperature", "radiation"])
+
+
 _FEATURES = ["pv", "Price", "Temperature", "radiation", "hour"]
 _MI = {
     "MX": " union all ".join(

@@ -135,6 +135,32 @@ def test_normality_verdict(spark):
     assert got == {"normal_values": True, "skewed": False}
 
 
+def test_shapiro_wilk_says_what_it_cannot_take(spark):
+    with pytest.raises(ValueError, match="5000"):
+        stats.normality(spark.createDataFrame([(1, 1.0)], "id int, x double"), ["x"], ["id"], sample=6000)
+
+
+def test_shapiro_francia_over_all_rows(spark):
+    rng = np.random.default_rng(2)
+    n = 6000
+    columns = {"bell": rng.normal(3, 2, n), "skewed": rng.exponential(size=n), "ties": np.round(rng.normal(size=n), 1)}
+    rows = [tuple(float(v[i]) for v in columns.values()) + (1.0, None) for i in range(n)]
+    df = spark.createDataFrame(rows, "bell double, skewed double, ties double, same double, none double")
+    got = {r["variable"]: r for r in stats.shapiro_francia(df, ["bell", "skewed", "ties", "same", "none"]).collect()}
+    scores = [NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)]
+    for name, values in columns.items():
+        assert got[name]["n"] == n
+        assert got[name]["statistic"] == pytest.approx(np.corrcoef(np.sort(values), scores)[0, 1] ** 2, abs=1e-9)
+    assert got["bell"]["normal"] and not got["skewed"]["normal"]
+    assert got["same"]["statistic"] is None and got["none"]["n"] == 0 and got["none"]["p_value"] is None
+
+
+def test_normal_probability(spark):
+    zs = [-4.0, -1.3, 0.0, 0.4, 2.5]
+    got = spark.createDataFrame([(z,) for z in zs], "z double").select(stats.normal_probability(F.col("z"))).collect()
+    assert [r[0] for r in got] == pytest.approx([NormalDist().cdf(z) for z in zs], abs=1e-7)
+
+
 def test_normal_quantile_and_qq(spark):
     ps = [0.001, 0.02, 0.3, 0.5, 0.9, 0.99, 0.9999]
     df = spark.createDataFrame([(p,) for p in ps], "p double").withColumn("z", profile.normal_quantile(F.col("p")))
