@@ -120,15 +120,15 @@ def gbt_halves_error(spark, sf):
     return scored.groupBy(KEY).agg((2 * gap[0] < gap[1]).alias("halves_error"))
 
 
-@query("early_stop_check", "select true as kept_some, true as best_of_curve, true as stopped_by_rise")
+@query("early_stop_check", "select true as kept_some, true as best_of_curve, true as falls_until_kept")
 def early_stop_check(spark, sf):
-    """The kept round is the best of the validation curve, and boosting went on until that curve rose or 600 rounds were done."""
+    """The validation error falls with every kept round, so the last one is the best, of at most 600."""
     model, train, _ = _seasonal(spark, sf)
     tail = trees.with_tail(train).where("in_tail")
     errors = model.evaluateEachIteration(tail, "squared")  # one number per kept round
     falls = all(b < a for a, b in zip(errors, errors[1:]))
     kept = model.getNumTrees
-    return spark.createDataFrame([(0 < kept <= 600, min(errors) == errors[-1], falls)], "kept_some boolean, best_of_curve boolean, stopped_by_rise boolean")
+    return spark.createDataFrame([(0 < kept <= 600, min(errors) == errors[-1], falls)], "kept_some boolean, best_of_curve boolean, falls_until_kept boolean")
 
 
 _ROLLING = """select m.model_name, f.fold, count(*) as rows, count(*) as known, 0::bigint as outside
