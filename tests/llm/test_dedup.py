@@ -236,13 +236,21 @@ def _edits(a: list, b: list) -> int:
     return row[-1]
 
 
+def _near(v: tuple, w: tuple) -> bool:
+    """One word apart, or, of lines of fewer than eight words and at least 16 characters, one character."""
+    if len(v) >= 8 and len(w) >= 8:
+        return abs(len(v) - len(w)) <= 1 and _edits(list(v), list(w)) <= 1
+    a, b = " ".join(v), " ".join(w)
+    return max(len(v), len(w)) < 8 and min(len(a), len(b)) >= 16 and abs(len(a) - len(b)) <= 1 and _edits(list(a), list(b)) <= 1
+
+
 def plain_lines(rows: list[tuple]) -> dict:
     """(id, text, line) → the earliest place of an equal or near line; rows are (id, text)."""
     found = []
     for i, t in sorted(set(rows), key=lambda r: _key(r[0])):
         for n, line in enumerate((t or "").split("\n")):
             w = tuple(odd.words(odd.lowered(line)))
-            if len(w) >= line_dedup.MIN_WORDS:
+            if w:
                 found.append((_key(i), n, t, w))
     out = {}
     for i, n, t, w in found:
@@ -250,8 +258,7 @@ def plain_lines(rows: list[tuple]) -> dict:
         best = equal
         if equal == (i, n):
             for j, m, _, v in found:
-                close = min(len(v), len(w)) >= line_dedup.NEAR_WORDS and abs(len(v) - len(w)) <= 1
-                if (j, m) < best and close and _edits(list(v), list(w)) <= 1:
+                if (j, m) < best and _near(v, w):
                     best = (j, m)
         out[i, t, n] = best
     return out
@@ -290,7 +297,27 @@ def test_rows_that_share_an_id(spark):
     assert got == [(0, 4, False, 4, 0), (0, 10, False, 4, 0), (0, 10, True, 4, 0), (1, 10, True, 4, 0)]
     assert sorted(str(r.text) for r in line_dedup.drop_repeated_lines(docs).collect()) == sorted(["None", line, "", other])
     places = line_dedup.repeated_lines(odd.table(spark)).count()
-    assert places == sum(len(odd.words(x)) >= 3 for r in odd.rows() for x in (r[1] or "").split("\n"))
+    assert places == sum(len(odd.words(x)) > 0 for r in odd.rows() for x in (r[1] or "").split("\n"))
+
+
+def test_short_lines_and_scripts_without_spaces(spark):
+    """No line is too short to be judged; one character counts where one word is too much or cannot be told."""
+    script = "今天的天气非常好我们一起去公园散步吧明天见"
+    texts = [
+        f"Read more\nAdvertisement\n{script}\nsubscribe to our newsletter\na b c d e f g h",
+        f"ADVERTISEMENT\nread  more\n{script}\nsubscribe to our newsletters\na b c d e f g",
+        f"Read mode\n{script[:9]}{script[10:]}\nsubscribe to your newsletter\nsubscribe to his newsletter\na b c d e f g x",
+        f"{script[:5]}山{script[6:]}\nread more\n\n \nx",
+    ]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    docs = odd.plain(spark, texts)
+    want = {(i, n): best for (i, _, n), best in plain_lines(rows).items()}
+    got = {(r.doc_id, r.line_no): (r.of_id, r.of_line) for r in line_dedup.repeated_lines(docs, block_mb=0.00001, part_mb=0.00001).collect()}
+    assert got == want
+    kept = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(docs).collect()}
+    assert kept[1] == "a b c d e f g"  # seven words: another kind, and under 16 characters
+    assert kept[2] == "Read mode\nsubscribe to his newsletter"
+    assert kept[3] == "\n \nx"
 
 
 def test_small_blocks_change_nothing(spark):
@@ -302,7 +329,7 @@ def test_small_blocks_change_nothing(spark):
 def test_variants_are_deletions():
     rng = random.Random(3)
     for n in (1, 2, 9, 40):
-        w = [odd.prose(rng, 1).encode() for _ in range(n)]
+        w = [odd.prose(rng, 1) for _ in range(n)]
         v1, v2 = line_dedup.variants(w)
         for i in range(n):
             if n > 1:
