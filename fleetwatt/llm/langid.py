@@ -23,8 +23,6 @@ from fleetwatt.llm.common import column, id_back, id_key
 DIMS = 1 << 16
 #: Labelled documents of each language that the fit sees at most.
 SAMPLE = 1500
-#: Languages with fewer labelled documents are not learned.
-LEAST = 5
 UNDETERMINED = "und"
 
 #: ISO 639-1 codes by branch.  A language not listed is a family of its own.
@@ -131,21 +129,28 @@ class Model:
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """Machines from the columns ``_id, _text, _lang``: at most ``sample`` documents of a
-    language, those with the smallest hash of their id, so the fit has a fixed size."""
+    language, those with the smallest hash of their id and text, so the fit has a fixed size.
+
+    Every language with a labelled text that holds a letter is learned, from one document on.  Rows that share id and
+    language are a document for each of their texts; equal rows count once.
+    """
+    labelled = labelled.where(F.col("_text").rlike(r"\p{L}")).withColumn("_hash", F.xxhash64("_text", F.lit(7)))
     counts = {r[0]: r[1] for r in labelled.groupBy("_lang").agg(F.count(F.lit(1))).collect()}
     # hashes below a bound that about twice the sample has; only those are ranked
-    chance = F.xxhash64("_id", F.lit(11)).cast("double") / F.lit(2.0**64) + 0.5
+    drawing = F.xxhash64("_id", "_hash", F.lit(11))
+    chance = drawing.cast("double") / F.lit(2.0**64) + 0.5
     share = F.lit(0.0)
     for lang, n in counts.items():
         share = F.when(F.col("_lang") == lang, F.lit(min(1.0, (2 * sample + 100) / n))).otherwise(share)
-    nth = Window.partitionBy("_lang").orderBy(F.xxhash64("_id", F.lit(11)), "_id")
-    drawn = labelled.select("_id", "_lang").where(chance <= share)
+    nth = Window.partitionBy("_lang").orderBy(drawing, "_id", "_hash")
+    drawn = labelled.select("_id", "_lang", "_hash").where(chance <= share).distinct()
     drawn = drawn.withColumn("_nth", F.row_number().over(nth)).where(F.col("_nth") <= sample)
-    langs = [lang for lang, n in counts.items() if n >= LEAST]
+    langs = list(counts)
     wanted = machines(langs)
     if not wanted:
         return Model(langs, {})
-    seen = labelled.join(F.broadcast(drawn.select("_id", "_lang")), ["_id", "_lang"])
+    keys = ["_id", "_lang", "_hash"]
+    seen = labelled.join(F.broadcast(drawn.select(*keys)), keys).groupBy(*keys).agg(F.first("_text").alias("_text"))
     sides: dict[str, list[tuple[str, str, int]]] = {}
     for level, name, left, right in wanted:
         for lang in left:
@@ -157,7 +162,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
         for b in batches:
             out = []
             for key, lang, text in zip(b["_id"], b["_lang"], b["_text"]):
-                if lang in sides and _LETTER.search(text):
+                if lang in sides:
                     at, x = _shares(text)
                     out += [(level, name, side, key, at.tobytes(), x.tobytes()) for level, name, side in sides[lang]]
             yield pd.DataFrame(out, columns=["_level", "_name", "_side", "_id", "_at", "_x"])

@@ -97,13 +97,15 @@ def _numbers(raw: bytes, dims: int, kind: str) -> np.ndarray:
 
 
 def _packed(rows: DataFrame, key: str, dims: int) -> DataFrame:
-    """One row per key with its ids and vectors as binary, short vectors filled with zeros."""
+    """One row per key with its ids and vectors as binary, in that order, short vectors filled with zeros."""
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         x = np.zeros((len(group), dims))
         for i, v in enumerate(group["_v"]):
             x[i, : len(v)] = v
-        return pd.DataFrame({key: [group[key].iat[0]], "_ids": [group["_id"].to_numpy(np.int64).tobytes()], "_x": [x.tobytes()]})
+        order = sorted(range(len(group)), key=lambda i: (int(group["_id"].iat[i]), x[i].tobytes()))
+        ids, x = group["_id"].to_numpy(np.int64)[order], x[order]
+        return pd.DataFrame({key: [group[key].iat[0]], "_ids": [ids.tobytes()], "_x": [x.tobytes()]})
 
     return rows.groupBy(key).applyInPandas(pack, f"{key} int, _ids binary, _x binary")
 
@@ -117,7 +119,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = 64, id_
 
     Rows whose id or vector is null, or whose vector holds a null or non-finite component,
     take no part.  A shorter vector counts as filled with zeros.  Rows that share the
-    query's id are its own and no candidates; other repeated ids are candidates each.
+    query's id are its own and no candidates; other repeated ids are candidates each, and
+    query rows that share an id have ``k`` places each, under that id.
     Scores beyond a long are held at its limits.  An empty table gives an empty table.
     """
     x = column(vector_col)
@@ -139,11 +142,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = 64, id_
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for ids, x, asked_ids, qx in zip(b["_ids"], b["_x"], b["_asked"], b["_qx"]):
+            for group, ids, x, asked_ids, qx in zip(b["_group"], b["_ids"], b["_x"], b["_asked"], b["_qx"]):
                 index = Index(np.frombuffer(ids, np.int64), _numbers(x, dims, kind))
-                for own, q in zip(np.frombuffer(asked_ids, np.int64), _numbers(qx, dims, kind)):
+                for nth, (own, q) in enumerate(zip(np.frombuffer(asked_ids, np.int64), _numbers(qx, dims, kind))):
                     found, scores = index.search(own, q, k)
-                    yield pd.DataFrame({"query_id": own, "vec_id": found, "score": scores.astype(np.int64)})
+                    row = int(group) << 32 | nth  # ids may repeat
+                    yield pd.DataFrame({"_row": row, "query_id": own, "vec_id": found, "score": scores.astype(np.int64)})
 
     def gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         some, size = [], 0
@@ -156,9 +160,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = 64, id_
         if some:
             yield pd.concat(some, ignore_index=True)
 
-    pairs = held.join(asking, ["_shard", "_group"]).select("_ids", "_x", "_asked", "_qx").repartition(shards * groups)
-    each = pairs.mapInPandas(gathered, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    pairs = held.join(asking, ["_shard", "_group"]).select("_group", "_ids", "_x", "_asked", "_qx").repartition(shards * groups)
+    each = pairs.mapInPandas(gathered, "_row long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("_row").orderBy(F.desc("score"), "vec_id")
     ranked = each.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias(id_col), "score")
 
@@ -174,10 +178,11 @@ with e as (
     where vec_id is not null and embedding is not null
       and len(list_filter(embedding, lambda x : x is null or isnan(x) or isinf(x))) = 0
 ),
+q as (select *, row_number() over () as nth from e where vec_id % 20 = 0),
 s as (
-    select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p : p[1] * p[2])) as bigint) as score
-    from e q join e c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0
+    select q.nth, q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p : p[1] * p[2])) as bigint) as score
+    from q join e c on q.vec_id <> c.vec_id
 )
-select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score
-from s qualify row_number() over (partition by query_id order by score desc, vec_id) <= 20
+select query_id, cast(row_number() over (partition by nth order by score desc, vec_id) as int) as rank, vec_id, score
+from s qualify row_number() over (partition by nth order by score desc, vec_id) <= 20
 """

@@ -57,6 +57,20 @@ def test_topk_ties_nulls_and_lengths(spark, monkeypatch):
     assert topk.top_k(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_topk_query_rows_that_share_an_id(spark):
+    """Each query row has its own places, equal rows too; rows of the same id are no candidates."""
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(1, 60) if i % 20]
+    asked = [(20, [rng.uniform(-1, 1) for _ in range(6)]) for _ in range(2)]
+    asked.append(asked[0])
+    table = spark.createDataFrame(rows + asked, "vec_id long, embedding array<double>").repartition(3)
+    want = []
+    for _, q in asked:
+        want += [(20, r, c, s) for _, r, c, s in _brute_top({i: _floors(v) for i, v in rows} | {20: _floors(q)}, [20], 5)]
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(table, F.col("vec_id") % 20 == 0, k=5).collect()]
+    assert sorted(got) == sorted(want) and len(got) == 15
+
+
 def test_topk_prunes_and_stays_exact():
     rng = np.random.default_rng(1)
     x = np.floor(64 * rng.normal(0, 0.12, (4000, 32))).astype(np.float32)
@@ -111,6 +125,21 @@ def test_langid_odd_table(spark):
     assert only.predict("some text") == ("en", 1.0) and only.predict("12 34") == ("und", 0.0)
 
 
+def test_langid_learns_every_language_and_counts_copies_once(spark):
+    rng = random.Random(5)
+    said = {"en": "the of and wh th", "de": "der und sch ich ei", "zz": "qo zu ka vo pi"}
+    made = [(k, " ".join(rng.choice(said[k].split()) for _ in range(40)), k) for k in said for _ in range(2 if k == "zz" else 40)]
+    rows = [(n, t, k) for n, (_, t, k) in enumerate(made)] + [(500, "12 34", "nn"), (501, "", "mm")]
+    schema = "_id long, _text string, _lang string"
+    once = langid.fit(spark.createDataFrame(rows, schema).repartition(4))
+    assert once.langs == ["de", "en", "zz"]  # two documents are enough; texts without a letter teach nothing
+    assert all(once.predict(t)[0] == k for _, t, k in rows[:-2])
+    copies = langid.fit(spark.createDataFrame(rows + [rows[3]] * 60, schema).repartition(4))
+    assert copies.keys == once.keys and (copies.table == once.table).all()
+    shared = langid.fit(spark.createDataFrame([(1, t, k) for _, t, k in rows], schema), sample=20)
+    assert shared.langs == once.langs and all(shared.predict(t)[0] == k for _, t, k in rows[:-2])
+
+
 def _walk(tokens: list[list], training: list[bool], mu: float) -> list[tuple]:
     """The automaton, one token at a time, from plain counts."""
     uni, pair = Counter(), Counter()
