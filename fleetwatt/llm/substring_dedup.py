@@ -14,7 +14,6 @@ plus the logarithm of the number of parts, which grows with the corpus.
 from __future__ import annotations
 
 import math
-import re
 
 import numpy as np
 import pandas as pd
@@ -25,7 +24,6 @@ from pyspark.sql import functions as F
 from fleetwatt.llm.common import column, dealt, id_back
 
 _BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 class _Hashes(dict):
@@ -85,14 +83,13 @@ def _kept(text: bytes, gone: np.ndarray, layout: bool) -> bytes:
         return b" ".join(text.split() if not gone.any() else [w for w, g in zip(text.split(), gone.tolist()) if not g])
     if not gone.any():
         return text
-    out, at = [], 0
-    found = list(_WORD.finditer(text))
-    for i, m in enumerate(found):
-        if gone[i]:
-            out.append(text[at : m.start()])
-            at = found[i + 1].start() if i + 1 < len(found) else len(text)
-    out.append(text[at:])
-    return b"".join(out)
+    raw = np.frombuffer(text, np.uint8)
+    space = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    begin = np.flatnonzero(~space & np.append(True, space[:-1]))
+    edge = np.zeros(len(raw) + 1, np.int8)
+    edge[begin[gone]] += 1
+    edge[np.append(begin[1:], len(raw))[gone]] -= 1
+    return raw[np.cumsum(edge[:-1], dtype=np.int8) == 0].tobytes()
 
 
 def remove_repeats(
