@@ -17,6 +17,9 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 DIGITS = 8
+#: Shuffled bytes that one task of a query reads.  Hourly grids shrink to about eight bytes a
+#: row when shuffled and need 20 times that to be sorted, so tasks are smaller than by default.
+TASK_BYTES = "16m"
 
 
 def tidy(df: DataFrame) -> DataFrame:
@@ -35,6 +38,7 @@ def tidy(df: DataFrame) -> DataFrame:
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", TASK_BYTES)
             return tidy(build(configure(spark), sf_dir))
 
         if name in QUERIES:

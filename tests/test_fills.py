@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fleetwatt.functions.ordered import newest, running_total, with_lags
 from fleetwatt.functions.quantiles import exact_quantiles
 from fleetwatt.operators import clean, coerce, grid, impute, missing
+from fleetwatt.plans import load_all
 from frames import SERIES, START, gappy, hours, series, values
 
 # 2,000 hours cross three month borders
@@ -233,3 +234,30 @@ def test_knn_without_a_donor_takes_the_mean(spark):
     rows = [("a", START, None, None), ("a", START + timedelta(hours=1), 4.0, 1.0), ("a", START + timedelta(hours=2), 6.0, 1.0)]
     df = spark.createDataFrame(rows, "series_id string, timestamp timestamp_ntz, target double, x double")
     assert impute.knn_impute(df, "target", ["x"]).orderBy("timestamp").first()["target"] == 5.0
+
+
+def test_resample_unfolds_after_the_aggregates(spark):
+    """No task aggregates or shuffles the empty slots: they come last, slice by slice."""
+    known = [("a", datetime(2024, 1, 1, 0, 10), 1.0), ("a", datetime(2024, 1, 1, 0, 40), 3.0), ("a", datetime(2024, 4, 1, 5), 5.0), ("a", None, 7.0)]
+    known += [(None, datetime(2024, 1, 31, 23), 1.0), (None, datetime(2024, 2, 1, 1), None), ("b", None, None)]
+    df = spark.createDataFrame(known, SERIES)
+    got = grid.resample(df, {"m": ("value", "mean"), "s": ("value", "sum"), "n": ("value", "count"), "x": ("value", "max")})
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate inline") < plan.index("Aggregate")
+    rows = {(r.series_id, r.timestamp): (r.m, r.s, r.n, r.x) for r in got.collect()}
+    hours = [datetime(2024, 1, 1) + timedelta(hours=h) for h in range(91 * 24 + 6)]
+    want = {("a", t): (None, 0.0, 0, None) for t in hours}
+    want |= {("a", hours[0]): (2.0, 4.0, 2, 3.0), ("a", hours[-1]): (5.0, 5.0, 1, 5.0), ("a", None): (7.0, 7.0, 1, 7.0), ("b", None): (None, 0.0, 0, None)}
+    want |= {(None, datetime(2024, 1, 31, 23)): (1.0, 1.0, 1, 1.0)} | {(None, datetime(2024, 2, 1, h)): (None, 0.0, 0, None) for h in (0, 1)}
+    assert rows == want and got.count() == len(want)
+
+
+def test_queries_read_small_shuffle_tasks(spark):
+    """Rows of a grid take 20 times their shuffled bytes when sorted."""
+    registry, size = load_all(), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    default = spark.conf.get(size)
+    try:
+        registry.QUERIES["resample_fleet"](spark, "/root/testdata/sf0.001")
+        assert spark.conf.get(size) == registry.TASK_BYTES == "16m"
+    finally:
+        spark.conf.set(size, default)
