@@ -65,7 +65,7 @@ def fit_gbt(
         featureSubsetStrategy=str(columns),
         seed=seed,
         checkpointInterval=10,
-        cacheNodeIds=True,
+        cacheNodeIds=False,  # a few levels are walked faster than a table of node ids is kept for each
         validationTol=0.0,
         minInstancesPerNode=leaf_rows,
     )
@@ -201,11 +201,11 @@ def exog_comparison(
     rows = ar_frame(df, target, keys, time)
     base = [f"{target.lower()}_lag_{k}" for k in LAGS] + TIME_FEATURES
     wide = rows.na.drop(subset=[target, *base, *exog])
-    scores = None
-    for name, features in [("GBT (AR only)", base), ("GBT (with exog)", [*base, *exog])]:
-        train, test = split_by_end(ml_dataset(wide, target, features, keys, time), days, keys, time)
-        part = forecast_metrics(predict(fit_gbt(train, trees, **gbt), test, name, keys, time), ["model_name"])
-        scores = part if scores is None else scores.unionByName(part)
+    sets = {"GBT (AR only)": base, "GBT (with exog)": [*base, *exog]}
+    split = [split_by_end(ml_dataset(wide, target, features, keys, time), days, keys, time) for features in sets.values()]
+    models = together(df.sparkSession, [lambda t=train: fit_gbt(t, trees, **gbt) for train, _ in split])
+    parts = [forecast_metrics(predict(m, test, n, keys, time), ["model_name"]) for n, m, (_, test) in zip(sets, models, split)]
+    scores = reduce(DataFrame.unionByName, parts)
     gain = improvement_pct(scores.withColumn("_one", F.lit(1)), "GBT (AR only)", "GBT (with exog)", ["_one"])
     return scores.withColumn("_one", F.lit(1)).join(F.broadcast(gain), "_one").drop("_one")
 

@@ -88,3 +88,20 @@ def test_together_keeps_order_and_bound(spark):
 
     assert trees.together(spark, [lambda k=k: job(k) for k in range(9)], 3) == list(range(9))
     assert 1 < most[0] <= 3
+
+
+def test_exog_models_are_fitted_together(spark, monkeypatch):
+    both, fit = threading.Barrier(2, timeout=60), trees.fit_gbt
+
+    def waits(*args, **kw):
+        both.wait()
+        return fit(*args, **kw)
+
+    monkeypatch.setattr(trees, "fit_gbt", waits)
+    rows = hourly(spark, {"a": 12}).select("series_id", "timestamp", F.col("label").alias("Demand"), F.dayofmonth("timestamp").cast("double").alias("Price"))
+    got = trees.exog_comparison(rows, "Demand", ["Price"], trees=2, days=2).collect()
+    assert sorted(r.model_name for r in got) == ["GBT (AR only)", "GBT (with exog)"]
+
+
+def test_levels_keep_no_node_ids(spark):
+    assert not trees.fit_gbt(hourly(spark, {"a": 3}), 1).getCacheNodeIds()
