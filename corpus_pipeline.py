@@ -33,7 +33,12 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8) the document with the smallest id stays."""
+    """Of each group of near copies the document with the smallest id stays.
+
+    Candidates are texts whose SimHash fingerprints differ in three bits or less, and those
+    of MinHash bands that three bits do not reach; near are those of similarity 0.8 (five-word
+    shingles).
+    """
     return jaccard.one_of_each(docs).select(*COLUMNS)
 
 

@@ -1,14 +1,16 @@
-"""Near copies by the Jaccard similarity of their word shingles, found by MinHash bands.
+"""Near copies by SimHash and MinHash bands, checked by the Jaccard similarity of their word shingles.
 
-Documents with the same set of shingles are one node.  A node's bands are hashes of
-``ROWS`` minima each; nodes that share a band are candidates, linked as a star to the
+Documents with the same set of shingles are one node.  Nodes whose SimHash fingerprints
+differ in at most three bits are candidates, found at the anchor points of ``simhash``.
+Three bits reach few pairs at similarity 0.8, so bands find the others: a band is a hash
+of ``ROWS`` minima; nodes that share one are candidates too, linked as a star to the
 smallest of the band.  At similarity s a pair shares none of the bands with probability
 (1 - s ** ROWS) ** BANDS: 3 in a million at 0.8, fewer above.
 
-Candidates are only asked, never linked by bands alone: the exact similarity of each
+Candidates are only asked, never linked by these alone: the exact similarity of each
 member to the first of its candidate component comes first, and where some member is not
 near the first, all pairs that this leaves open follow, in tiles.  So the result is that
-of comparing every pair that shares a band; a large group whose members are all near its
+of comparing every pair of candidates; a large group whose members are all near its
 first is read once.
 """
 
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetwatt.llm.common import id_back, id_key, settled, text_bytes
-from fleetwatt.llm.simhash import components, shingle_hashes, without_later
+from fleetwatt.llm.simhash import components, linked, majority, shingle_hashes, without_later
 
 BANDS = 32
 ROWS = 5
@@ -102,11 +104,19 @@ def _tile(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"_a": keys[away], "_b": keys[root[away]]})
 
 
+def _close(nodes: DataFrame) -> DataFrame:
+    """Links ``_u, _v`` between nodes that join all whose fingerprints differ in at most three bits."""
+    fps = settled(nodes.groupBy("_fp").agg(F.min("_set").alias("_first")))
+    equal = nodes.join(fps, "_fp").where("_set <> _first").select(F.col("_set").alias("_u"), F.col("_first").alias("_v"))
+    return linked(fps).unionByName(equal)
+
+
 def _links(texts: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     """Links ``_a, _b`` between nodes that join all candidates of similarity 0.8 or more."""
     placed = nodes.select("_set", F.explode("_bands").alias("_band"))
     firsts = placed.groupBy("_band").agg(F.min("_set").alias("_v"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    maybe = components(placed.join(firsts, "_band").where("_set <> _v").select(F.col("_set").alias("_u"), "_v"))
+    banded = placed.join(firsts, "_band").where("_set <> _v").select(F.col("_set").alias("_u"), "_v")
+    maybe = components(banded.unionByName(_close(nodes.where("_fp is not null").select("_set", "_fp"))))
     members = maybe.unionByName(maybe.select(F.col("_v").alias("_u"), "_v").distinct())
     members = members.select(F.col("_u").alias("_set"), F.col("_v").alias("_root")).join(nodes.select("_set", "_th"), "_set")
 
@@ -149,11 +159,13 @@ def near_copies(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_
             own = [shingles(t, shingle) for t in b.column("_text").to_pylist()]
             keys = pa.array(np.array([_set_key(x) for x in own], np.uint64).view(np.int64))
             each = pa.array([bands(x).view(np.int64) for x in own], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_th"), keys, each], names=["_id", "_th", "_set", "_bands"])
+            bits = pa.array(np.array([majority(x) for x in own], np.uint64).view(np.int64), mask=np.array([not len(x) for x in own], bool))
+            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_th"), keys, bits, each], names=["_id", "_th", "_set", "_fp", "_bands"])
 
-    own = settled(texts.mapInArrow(of, "_id long, _th long, _set long, _bands array<long>"))
-    # sets that are equal have equal bands, so any of them will do
-    nodes = settled(own.groupBy("_set").agg(F.min("_id").alias("_first"), F.min("_th").alias("_th"), F.first("_bands").alias("_bands")))
+    own = settled(texts.mapInArrow(of, "_id long, _th long, _set long, _fp long, _bands array<long>"))
+    # sets that are equal have equal fingerprints and bands, so any of them will do
+    first = [F.first(c).alias(c) for c in ("_fp", "_bands")]
+    nodes = settled(own.groupBy("_set").agg(F.min("_id").alias("_first"), F.min("_th").alias("_th"), *first))
     found = settled(_links(texts.select("_th", "_text"), nodes, shingle))
     ends = found.join(nodes.select(F.col("_set").alias("_a"), F.col("_first").alias("_u")), "_a")
     ends = ends.join(nodes.select(F.col("_set").alias("_b"), F.col("_first").alias("_v")), "_b").select("_u", "_v")

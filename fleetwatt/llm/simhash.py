@@ -48,7 +48,11 @@ def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
     """Majority bits of the hashes of all word shingles."""
-    h = shingle_hashes(text, shingle)
+    return majority(shingle_hashes(text, shingle))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes; zero for none."""
     if not len(h):
         return 0
     ones = np.zeros(64, np.int64)
@@ -189,6 +193,13 @@ def links(fps: DataFrame, most: int = 3) -> DataFrame:
     return dealt.mapInPandas(compared, "_a long, _b long").distinct()
 
 
+def linked(fps: DataFrame, most: int = 3) -> DataFrame:
+    """The same links as ``_u, _v`` between the ``_first`` of the fingerprints."""
+    found = links(fps, most)
+    ends = found.join(fps.select(F.col("_fp").alias("_a"), F.col("_first").alias("_u")), "_a")
+    return ends.join(fps.select(F.col("_fp").alias("_b"), F.col("_first").alias("_v")), "_b").select("_u", "_v")
+
+
 def _stable(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("_u", "_v").cast("decimal(38,0)"))).first()
     return row[0], int(row[1] or 0)
@@ -227,10 +238,7 @@ def near_copies(docs: DataFrame, shingle: int = 3, most: int = 3, id_col: str =
     """
     own = settled(fingerprints(docs, shingle, id_col, text_col))
     fps = settled(own.groupBy("_fp").agg(F.min("_id").alias("_first")))
-    found = links(fps, most)
-    ends = found.join(fps.select(F.col("_fp").alias("_a"), F.col("_first").alias("_u")), "_a")
-    ends = ends.join(fps.select(F.col("_fp").alias("_b"), F.col("_first").alias("_v")), "_b").select("_u", "_v")
-    stars = components(ends)
+    stars = components(linked(fps, most))
     named = fps.join(stars, F.col("_first") == F.col("_u"), "left").select("_fp", F.coalesce("_v", "_first").alias("_component"))
     out = own.join(named, "_fp")
     return out.select(

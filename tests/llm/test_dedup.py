@@ -166,6 +166,27 @@ def test_pipeline_near_copies_against_brute_force(spark, monkeypatch, tile):
     assert sorted(r.doc_id for r in got.collect()) == want
 
 
+def test_pipeline_near_copies_by_fingerprints_alone(spark, monkeypatch):
+    """Fingerprints within three bits make candidates, also where no band would; the similarity decides."""
+    monkeypatch.setattr(jaccard, "bands", lambda own: np.zeros(0, np.uint64))
+    rng, texts = random.Random(5), ["", None, "one"]
+    for _ in range(6):
+        base = [f"w{rng.randrange(3000)}" for _ in range(1000)]
+        texts += [" ".join(base), " ".join([*base, "more"]), " ".join([*base, *base])]
+    own = [_five(t) for t in texts]
+    bits = [simhash.majority(np.array([xxhash.xxh64_intdigest(" ".join(s), 42) for s in x], np.uint64)) for x in own]
+    sets = Sets(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            close = own[i] and own[j] and (bits[i] ^ bits[j]).bit_count() <= 3
+            if own[i] == own[j] or close and 5 * len(own[i] & own[j]) >= 4 * len(own[i] | own[j]):
+                sets.join(i, j)
+    want = [i for i in range(len(texts)) if sets.find(i) == i]
+    assert len(want) <= 10
+    got = corpus_pipeline.near_dedup(spark, odd.plain(spark, texts), "")
+    assert sorted(r.doc_id for r in got.collect()) == want
+
+
 def test_jaccard_odd_table(spark):
     got = jaccard.near_copies(odd.table(spark)).collect()
     assert sorted(_key(r.doc_id) for r in got) == sorted(_key(r[0]) for r in odd.rows())
