@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding by a shared-prefix forward pass.
 
 A text is cut into marked words (a run of marks and the characters after it); no piece
-crosses their borders.  The distinct words of a batch are sorted, which is a depth-first
-walk of their trie: each word keeps the forward states of the prefix it shares with the
-one before and extends only the rest.
+crosses their borders.  The distinct words of a batch are sorted, which lays out their
+trie: each word keeps the forward states of the prefix it shares with the one before and
+extends only the rest.  For a BPE model all prefixes of one length are extended together
+by array work; long words and unigram models walk the trie depth first.
 
 The state of a prefix is, for a unigram model, the best score of a segmentation and the
 start of its last piece (Viterbi).  A BPE model fixes one segmentation of every prefix,
@@ -18,6 +19,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +32,145 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Marked words whose ids a worker remembers as recent (as many older ones are kept until
 #: the next turn), and the longest it remembers.
-REMEMBERED, LONGEST = 250_000, 48
+REMEMBERED, LONGEST = 50_000, 48
 #: Pairs of pieces whose fit a worker remembers.
 PAIRS = 200_000
+#: Words whose prefixes are extended together.
+TOGETHER = 16_384
 
 NORMAL, UNKNOWN, CONTROL, USER, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 
 
+class Table:
+    """Numbers kept for pairs of numbers, looked up by arrays."""
+
+    def __init__(self, pairs: dict[tuple[int, int], float], width: int, kind: type):
+        keys = np.array([a * width + b for a, b in pairs], np.int64)
+        order = np.argsort(keys)
+        self.width = width
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.values = np.append(np.array(list(pairs.values()), kind)[order], kind(0))
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each pair is there, and its number."""
+        key = a.astype(np.int64) * self.width + b
+        at = np.searchsorted(self.keys, key)
+        return self.keys[at] == key, self.values[at]
+
+
+class Levels:
+    """A BPE model's pieces as numbers, and the walk over all prefixes of one length.
+
+    Number 0 is no piece, 1 a character that is in no piece (such characters never merge,
+    so one number stands for all); the pieces and their characters follow.
+    """
+
+    def __init__(self, model: Pieces):
+        self.model = model
+        alphabet = sorted({c for p in model.id for c in p})
+        strange = next(c for c in map(chr, range(len(alphabet) + 1)) if c not in set(alphabet))
+        self.names = ["", strange, *model.id, *(c for c in alphabet if c not in model.id)]
+        number = {p: i for i, p in enumerate(self.names) if i > 1}
+        self.size = np.array([len(p) for p in self.names], np.int64)
+        self.piece = np.array([-1, -1, *[model.id.get(p, -1) for p in self.names[2:]]], np.int32)
+        self.left = np.array([number.get(model.left.get(p), 0) for p in self.names], np.int64)
+        self.right = np.array([number.get(model.right.get(p), 0) for p in self.names], np.int64)
+        self.made = (self.size == 1) | (self.left > 0)
+        self.marks = np.array([p.endswith(MARK) for p in self.names])
+        #: when a piece is made: its score, or never undone
+        self.score = np.array([model.score[p] if len(p) > 1 else np.inf for p in self.names])
+        #: the score of two neighbours' merge
+        splits = ((p, number.get(p[:i]), number.get(p[i:])) for p in model.id for i in range(1, len(p)))
+        self.across = Table({(a, b): model.score[p] for p, a, b in splits if a and b}, len(self.names), np.float64)
+        #: the ends of pieces as a trie read from the last character; node 0 is its root
+        char = {c: i for i, c in enumerate(alphabet, 1)}
+        node = {end: i for i, end in enumerate(["", *sorted(model.ends, key=len)])}
+        self.before = Table({(node[end[1:]], char[end[0]]): i for end, i in node.items() if end}, len(char) + 1, np.int64)
+        self.of_node = np.array([number.get(end, 0) for end in node], np.int64)
+        self.of_char = np.array([1, *[number[c] for c in char]], np.int64)
+        self.char = np.zeros(0x110000, np.int32)
+        self.char[[ord(c) for c in char]] = list(char.values())
+
+    def _fit(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``Pieces._fit`` of many pairs; an ``a`` of 0 is no piece before."""
+        ok = self.made[b]
+        after_marks = np.flatnonzero(self.marks[a])
+        ok[after_marks] = [self.model._fits(self.names[x], self.names[y]) for x, y in zip(a[after_marks].tolist(), b[after_marks].tolist())]
+        at = np.flatnonzero(ok & (a > 0) & ~self.marks[a])
+        a, b, least, first = a[at], b[at], np.full(len(at), -np.inf), np.zeros(len(at), bool)
+        while len(at):
+            there, across = self.across.find(a, b)
+            bad = there & ((across > least) | first & (across == least))
+            ok[at[bad]] = False
+            in_a, in_b = self.score[a], self.score[b]
+            undo_a = in_a < in_b
+            on = np.flatnonzero(~bad & (undo_a | (in_b < np.inf)))
+            at, a, b, undo_a = at[on], a[on], b[on], undo_a[on]
+            least, first = np.minimum(in_a, in_b)[on], ~undo_a
+            a, b = np.where(undo_a, self.right[a], a), np.where(undo_a, b, self.left[b])
+        return ok
+
+    def _fits(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pairs, which = np.unique(a * len(self.names) + b, return_inverse=True)
+        return self._fit(pairs // len(self.names), pairs % len(self.names))[which]
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each of the sorted ``words`` as 32-bit numbers."""
+        count = len(words)
+        length = np.fromiter(map(len, words), np.int64, count)
+        deepest = int(length.max())
+        inside = np.arange(deepest) < length[:, None]
+        chars = np.full((count, deepest), -1, np.int32)
+        chars[inside] = self.char[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        other = chars[1:] != chars[:-1]
+        same = np.append(0, np.where(other.any(axis=1), other.argmax(axis=1), deepest))
+        chars = np.ascontiguousarray(chars.T)
+        last = np.zeros((deepest + 1, count), np.int64)  # the last piece of each word's prefix of each length
+        for end in range(1, deepest + 1):
+            own = (length >= end) & (same < end)
+            self._step(chars, end, np.flatnonzero(own), last)
+            last[end] = last[end, np.maximum.accumulate(np.where(own, np.arange(count), 0))]
+        return self._spelled(words, length, last)
+
+    def _step(self, chars: np.ndarray, end: int, todo: np.ndarray, last: np.ndarray) -> None:
+        """The last pieces of the prefixes of length ``end`` of the words ``todo``."""
+        own, node = todo, np.zeros(len(todo), np.int64)
+        for size in range(1, end + 1):
+            char = chars[end - size, todo]
+            there, node = self.before.find(node, char)
+            piece = self.of_char[char] if size == 1 else np.where(there, self.of_node[node], 0)
+            some = np.flatnonzero(piece)
+            some = some[self._fits(last[end - size, todo[some]], piece[some])]
+            last[end, todo[some]] = piece[some]
+            there[some] = False
+            todo, node = todo[there], node[there]
+            if not len(todo):
+                break
+        if not last[end, own].all():
+            raise AssertionError("a prefix has no last piece")
+
+    def _spelled(self, words: list[str], length: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """The ids along the last pieces, from each word's end to its start."""
+        word, end, steps = np.arange(len(words)), length, []
+        total = np.zeros(len(words), np.int64)
+        while len(word):
+            piece = last[end, word]
+            total[word] += 1
+            end = end - self.size[piece]
+            steps.append((word, piece, end))
+            word, end = word[end > 0], end[end > 0]
+        after = np.cumsum(total)
+        ids, start = np.empty(int(total.sum()), np.int32), np.empty(int(total.sum()), np.int64)
+        for k, (word, piece, at) in enumerate(steps, 1):
+            ids[after[word] - k], start[after[word] - k] = self.piece[piece], at
+        spelled, ends = ids.tobytes(), (4 * after).tolist()
+        out = [spelled[i:j] for i, j in zip([0, *ends], ends)]
+        for w in np.unique(np.searchsorted(after, np.flatnonzero(ids < 0), side="right")).tolist():
+            cuts = [*start[after[w] - total[w] : after[w]].tolist(), len(words[w])]
+            out[w] = np.array(self.model.ids([words[w][i:j] for i, j in zip(cuts, cuts[1:])]), np.int32).tobytes()
+        return out
+
+
 class Pieces:
     """A model file's pieces and the two directions over them."""
 
@@ -77,6 +211,7 @@ class Pieces:
         self.seen: dict[str, bool] = {}
         if self.bpe:
             self._last_merges()
+        self.levels = Levels(self) if self.bpe else None
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -89,8 +224,10 @@ class Pieces:
         signs = "".join(c for c in ".,!?;:" if not any(x[1] == c and re.match(letter, x[0]) for x in inside))
         if not signs:
             return re.compile(f"{feed or '(?!)'}|{MARK}*[^{MARK}{feed}]+|{MARK}+")
-        run = f"(?:[^{MARK}{feed}{signs}]+|(?<!{letter})[{signs}])"
-        return re.compile(f"{feed or '(?!)'}|{MARK}*{run}+|[{signs}]{run}*|{MARK}+")
+        plain = f"[^{MARK}{feed}{signs}]"
+        run = f"(?:{plain}+|(?<!{letter})[{signs}])"
+        most = f"{MARK}*{plain}++(?![{signs}])"  # no sign follows: the same as the runs, and faster
+        return re.compile(f"{most}|{feed or '(?!)'}|{MARK}*{run}+|[{signs}]{run}*|{MARK}+")
 
     def merged(self, chars: list[str], until: int = 1) -> list[str]:
         """Merge neighbours, best score and then leftmost first, until none is a piece or ``until`` are left."""
@@ -215,11 +352,18 @@ class Pieces:
         if len(self.recent) > REMEMBERED:
             self.older, self.recent = self.recent, {}
         known, older = self.recent, self.older
-        new = {w for words in split for w in words if w not in known}
+        new: set[str] = set()
+        for words in split:
+            new.update(filterfalse(known.__contains__, words))
         known.update((w, older[w]) for w in new if w in older)
         new = sorted(new - known.keys())
         long = [w for w in new if len(w) > LONGEST]
-        known.update((w, np.array(self.ids(p), np.int32).tobytes()) for w, p in zip(new, self.segment(new)))
+        deep = long if self.levels else new
+        known.update((w, np.array(self.ids(p), np.int32).tobytes()) for w, p in zip(deep, self.segment(deep)))
+        if self.levels:
+            short = [w for w in new if len(w) <= LONGEST]
+            for lo in range(0, len(short), TOGETHER):
+                known.update(zip(some := short[lo : lo + TOGETHER], self.levels.ids(some)))
         out = [b"".join(map(known.__getitem__, words)) for words in split]
         for w in long:
             del known[w]
@@ -251,11 +395,11 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                some = pieces(model).encode(b.column(1).slice(lo, 500).to_pylist())
+            for lo in range(0, b.num_rows, 250):
+                some = pieces(model).encode(b.column(1).slice(lo, 250).to_pylist())
                 ends = np.cumsum([0, *map(len, some)]) // 4
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(some), np.int32)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, 500), lists], names=["_id", "ids"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, 250), lists], names=["_id", "ids"])
 
     source = docs.select(id_key(id_col).alias("_id"), F.coalesce(column(text_col), F.lit("")).alias("_text"))
     return source.mapInArrow(run, "_id long, ids array<int>").select(id_back("_id").alias(id_col), "ids")
@@ -276,7 +420,9 @@ def decode(encoded: DataFrame, model: str = MODEL, ids_col: str = "ids", out_col
             back = pieces(model)
             for lo in range(0, b.num_rows, 100):
                 some = b.slice(lo, 100)
-                text = [None if x is None else back.decode(x) for x in some.column(at).to_pylist()]
+                lists = some.column(at)  # as array slices: to_pylist() makes an object of every id first
+                ids, cuts = lists.values.to_numpy(), lists.offsets.to_numpy().tolist()
+                text = [back.decode(ids[i:j].tolist()) if there else None for i, j, there in zip(cuts, cuts[1:], lists.is_valid().to_pylist())]
                 yield pa.RecordBatch.from_arrays([*some.columns, pa.array(text, pa.string())], names=[*b.schema.names, "_new"])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in inner.schema)

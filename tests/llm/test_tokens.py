@@ -67,6 +67,45 @@ def test_shared_prefixes_change_nothing():
     assert together == [own.merged(list(w)) for w in some]
 
 
+def test_short_words_take_no_step_of_their_own(monkeypatch):
+    """Prefixes of one length are extended together: only words beyond ``LONGEST`` are walked one by one."""
+    rng = random.Random(11)
+    names = [p for p in pieces.pieces().id if pieces.MARK not in p and "\n" not in p]
+    strange = ["\x00", "\U0001f9ff", "\ue000"]
+    words = ["".join(rng.choices(names, k=rng.randint(1, 9))) + rng.choice(strange) * (i % 5 == 0) for i in range(30_000)]
+    words = [w for w in words if len(w) < pieces.LONGEST - 4]
+    texts = [" " * (i % 4) + " ".join(words[i : i + 50]) for i in range(0, len(words), 50)]
+    long = ["".join(words[i : i + 20]) for i in range(0, 400, 20)]
+    want = sentencepiece.SentencePieceProcessor(model_proto=_model()).encode(texts + long)
+    steps = []
+    step = pieces.Pieces._step_bpe
+    monkeypatch.setattr(pieces.Pieces, "_step_bpe", lambda self, word, *a: steps.append(word) or step(self, word, *a))
+    own = pieces.Pieces(_model())
+    got = [np.frombuffer(x, np.int32).tolist() for x in own.encode(texts)]
+    assert not steps and len(own.recent) > pieces.TOGETHER
+    got += [np.frombuffer(x, np.int32).tolist() for x in own.encode(long)]
+    assert got == want and all(len(w) > pieces.LONGEST for w in steps)
+
+
+def test_fits_by_arrays_are_the_fits():
+    own, rng = pieces.Pieces(_model()), np.random.default_rng(13)
+    names = own.levels.names
+    a, b = rng.integers(0, len(names), 40_000), rng.integers(1, len(names), 40_000)
+    b[own.levels.marks[b]] = 1  # a mark never comes behind another character
+    common = rng.random(40_000) < 0.5  # short pieces, whose merges are pieces more often
+    short = np.flatnonzero((own.levels.size < 4) & (own.levels.size > 0) & ~own.levels.marks)
+    a[common], b[common] = rng.choice(short, common.sum()), rng.choice(short, common.sum())
+    some = [own._fit(names[x], names[y]) for x, y in zip(a.tolist(), b.tolist())]
+    assert own.levels._fits(a, b).tolist() == some and 1000 < sum(some) < 39_000
+
+
+def test_decode_reads_every_list_of_a_batch(spark):
+    lists = [None if i % 7 == 0 else [] if i % 5 == 0 else [260 + i, 300 + i % 90] for i in range(1000)]
+    table = spark.createDataFrame(list(enumerate(lists)), "doc_id long, ids array<int>").coalesce(1)
+    want = {i: None if x is None else pieces.pieces().decode(x) for i, x in enumerate(lists)}
+    assert {r.doc_id: r.decoded for r in pieces.decode(table).collect()} == want
+
+
 def test_encode_and_decode_tables(spark):
     docs = odd.table(spark)
     got = pieces.decode(pieces.encode(docs)).collect()
